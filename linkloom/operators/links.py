@@ -7,7 +7,9 @@ keys are read.  The same code serves batch and streaming frames.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import cache
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.html import page_hrefs
@@ -27,22 +29,29 @@ def _one_row_each(pages: DataFrame, links: str) -> DataFrame:
     )
 
 
-def page_outcomes(pages: DataFrame) -> DataFrame:
-    """One row per page with ``outcomes``: its hrefs in order, each resolved or classed as failed."""
+@cache
+def _outcomes() -> Column:
+    """``hrefs`` of a page at ``url``, each resolved or classed as failed.
+
+    Built once per process: the expression is long, and its names are fixed.
+    """
 
-    def resolved(parts, hrefs):
+    def resolved(parts: Column) -> Column:
         return F.transform(
-            hrefs,
+            F.col("hrefs"),
             lambda href: bind(
                 resolve_against(parts, href),
                 lambda r: F.struct(href.alias("href"), r["dst"].alias("dst"), r["error_class"].alias("error_class")),
             ),
         )
 
-    return pages.withColumn("hrefs", page_hrefs(F.col("html"))).select(
-        *[name for name in pages.columns if name != "html"],
-        bind(base_parts(F.col("url")), lambda parts: resolved(parts, F.col("hrefs"))).alias("outcomes"),
-    )
+    return bind(base_parts(F.col("url")), resolved).alias("outcomes")
+
+
+def page_outcomes(pages: DataFrame) -> DataFrame:
+    """One row per page with ``outcomes``: its hrefs in order, each resolved or classed as failed."""
+    others = [name for name in pages.columns if name != "html"]
+    return pages.select(*others, page_hrefs(F.col("html")).alias("hrefs")).select(*others, _outcomes())
 
 
 def link_outcomes(pages: DataFrame) -> DataFrame:

@@ -6,14 +6,16 @@ ranks sum to the number of vertices.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from linkloom.operators.adjacency import HOT_EDGES, lay_out
+from linkloom.operators.adjacency import HOT_EDGES, Adjacency, lay_out
 from linkloom.session import iterating, settle
 
 RESET = 0.15
 TOLERANCE = 1e-4
+# Rounds of a fixed-length run between two settled states.
+ROUNDS_PER_STAGE = 5
 
 
 def _vertex_ids(edges: DataFrame, vertices: DataFrame | None) -> DataFrame:
@@ -36,47 +38,65 @@ def pagerank(
     change is at most ``tol``, and the loop ends when none is left; with it,
     exactly that many rounds run from ranks of 1.
 
-    A round shuffles partially summed messages only.  Each round's ranks are
-    written to the shared checkpoint folder, so a lost executor costs one round
-    at most.
+    A round shuffles partially summed messages only.  States are settled in the
+    shared checkpoint folder, so lineage stays short and a lost executor costs
+    a few rounds at most.
     """
-    spark = edges.sparkSession
     weighted = settle(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")))
     adjacency = lay_out(weighted, hot_edges)
-    out_degrees = weighted.groupBy("src").agg(F.sum("copies").alias("out_degree"))
-    ids = _vertex_ids(weighted, vertices)
-    with iterating(spark, adjacency.width):
-        # Incremental form starts at the reset rank, all of it yet to be passed on.
-        first = RESET if iterations is None else 1.0
-        state = settle(
-            ids.join(out_degrees.withColumnRenamed("src", "id"), "id", "left")
-            .select("id", "out_degree", F.lit(first).alias("rank"), F.lit(first).alias("delta"))
+    out_degrees = weighted.groupBy(F.col("src").alias("id")).agg(F.sum("copies").alias("out_degree"))
+    with iterating(edges.sparkSession, adjacency.width):
+        nodes = settle(
+            _vertex_ids(weighted, vertices)
+            .join(out_degrees, "id", "left")
             .repartition(adjacency.width, "id")
             .sortWithinPartitions("id")
         )
-        done = 0
-        while iterations is None or done < iterations:
-            passing = state.filter(F.col("out_degree").isNotNull())
-            if iterations is None:
-                passing = passing.filter(F.col("delta") > tol)
-                if passing.isEmpty():
-                    break
-            shares = passing.select(F.col("id").alias("src"), (F.col("delta") / F.col("out_degree")).alias("share"))
-            messages = (
-                adjacency.follow(shares)
-                .groupBy(F.col("dst").alias("id"))
-                .agg(F.sum(F.col("share") * F.col("copies")).alias("message"))
-            )
-            received = (1 - RESET) * F.coalesce("message", F.lit(0.0))
-            joined = state.join(messages, "id", "left")
-            if iterations is None:
-                rank, delta = F.col("rank") + received, received
-            else:
-                rank = delta = RESET + received
-            state = settle(joined.select("id", "out_degree", rank.alias("rank"), delta.alias("delta")))
-            done += 1
-        scale = state.agg((F.count("*") / F.sum("rank")).alias("scale")).first()["scale"]
-    return state.select("id", (F.col("rank") * F.lit(scale)).alias("rank"))
+        ranks = _until_settled(adjacency, nodes, tol) if iterations is None else _rounds(adjacency, nodes, iterations)
+        scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).first()["scale"]
+    return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("rank"))
+
+
+def _received(adjacency: Adjacency, passing: DataFrame, amount: str) -> DataFrame:
+    """``(id, received)``: the damped sum of what each vertex is sent."""
+    shares = passing.filter(F.col("out_degree").isNotNull()).select(
+        F.col("id").alias("src"), (F.col(amount) / F.col("out_degree")).alias("share")
+    )
+    return (
+        adjacency.follow(shares)
+        .groupBy(F.col("dst").alias("id"))
+        .agg(((1 - RESET) * F.sum(F.col("share") * F.col("copies"))).alias("received"))
+    )
+
+
+def _rounds(adjacency: Adjacency, nodes: DataFrame, iterations: int) -> DataFrame:
+    ranks = nodes.withColumn("rank", F.lit(1.0))
+    for done in range(1, iterations + 1):
+        received = _received(adjacency, ranks, "rank")
+        ranks = nodes.join(received, "id", "left").select(
+            "id", "out_degree", (RESET + F.coalesce("received", F.lit(0.0))).alias("rank")
+        )
+        if done % ROUNDS_PER_STAGE == 0 or done == iterations:
+            ranks = settle(ranks)
+    return ranks
+
+
+def _until_settled(adjacency: Adjacency, nodes: DataFrame, tol: float) -> DataFrame:
+    """Ranks start at the reset value, all of it yet to be passed on."""
+    state = nodes.select("id", "out_degree", F.lit(RESET).alias("rank"), F.lit(RESET).alias("delta"))
+    passing = (F.col("delta") > tol) & F.col("out_degree").isNotNull()
+    active = state.filter(passing).count()
+    while active:
+        received = _received(adjacency, state.filter(passing), "delta")
+        delta = F.coalesce("received", F.lit(0.0))
+        watch = Observation()
+        state = settle(
+            state.join(received, "id", "left")
+            .select("id", "out_degree", (F.col("rank") + delta).alias("rank"), delta.alias("delta"))
+            .observe(watch, F.count_if(passing).alias("active"))
+        )
+        active = watch.get["active"]
+    return state
 
 
 def label_ranks(ranks: DataFrame, vertices: DataFrame) -> DataFrame:

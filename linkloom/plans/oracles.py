@@ -161,17 +161,20 @@ def levels(depth: int, score: str = priority("url"), ignored: str = reason("dst"
     return "WITH " + "".join(parts)
 
 
-def waves(sizes: list[int], max_depth: int | None) -> str:
+def waves(sizes: list[int], max_depth: int | None, budget: int | None = None) -> str:
     """CTEs ``wave<i>`` and ``pending<i>`` for waves of the given sizes."""
     parts = [
         shop_links(reason("dst")),
         f", pending0 AS MATERIALIZED (SELECT DISTINCT url, {priority('url')} AS priority, 0 AS depth FROM seeds)",
     ]
     for i, size in enumerate(sizes):
+        earlier = " UNION ALL ".join(f"SELECT url FROM wave{j}" for j in range(i)) or "SELECT '' AS url WHERE false"
         visited = " UNION ALL ".join(f"SELECT url FROM wave{j}" for j in range(i + 1))
         limit = "" if max_depth is None else f" AND depth < {max_depth}"
+        room = str(size) if budget is None else f"least({size}, {budget} - (SELECT count(*) FROM ({earlier}) AS v))"
         parts.append(
-            f", wave{i} AS MATERIALIZED (SELECT * FROM pending{i} ORDER BY priority, url LIMIT {size})"
+            f", wave{i} AS MATERIALIZED (SELECT url, priority, depth FROM"
+            f" (SELECT *, row_number() OVER (ORDER BY priority, url) AS place FROM pending{i}) AS q WHERE place <= {room})"
             f", pending{i + 1} AS MATERIALIZED (SELECT url, {priority('url')} AS priority, CAST(min(depth) AS INTEGER) AS depth"
             f" FROM (SELECT url, depth FROM pending{i}"
             f" UNION ALL SELECT dst, depth + 1 FROM links JOIN wave{i} ON src = url{limit}) AS p"
@@ -180,13 +183,16 @@ def waves(sizes: list[int], max_depth: int | None) -> str:
     return "WITH " + "".join(parts)
 
 
+# More waves than the page budget can need; the surplus ones are empty.
+BEST_FIRST_WAVES = 12
+
+
 def best_first() -> str:
-    size, budget, depth = BEST_FIRST["wave_size"], BEST_FIRST["max_pages"], BEST_FIRST["max_depth"]
-    sizes = [min(size, budget - start) for start in range(0, budget, size)]
+    sizes = [BEST_FIRST["wave_size"]] * BEST_FIRST_WAVES
     union = " UNION ALL ".join(
         f"SELECT url, depth, priority, {i} AS wave FROM wave{i}" for i in range(len(sizes))
     )
-    return f"{waves(sizes, depth)} {union}"
+    return f"{waves(sizes, BEST_FIRST['max_depth'], BEST_FIRST['max_pages'])} {union}"
 
 
 # PageRank.
