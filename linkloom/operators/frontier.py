@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.heuristics import DEFAULT, Heuristics
 from linkloom.functions.urls import PROTOCOL
 from linkloom.operators.adjacency import HOT_EDGES, Adjacency, lay_out
+from linkloom.operators.keys import join_side
 from linkloom.operators.links import extract_links
 from linkloom.operators.ordering import head_cut, up_to
 from linkloom.operators.policy import Forgiveness
@@ -39,7 +40,6 @@ def admitted_links(
 ) -> DataFrame:
     """Distinct ``(src, dst)`` pairs a crawl may follow: from parseable pages, to admitted URLs."""
     links = extract_links(pages, policy, forgive, parseable_only=True).select("src", "dst")
-    # Each pair is tested once, after repeated pairs are gone.
     return heuristics.admit(links.distinct(), "dst")
 
 
@@ -66,9 +66,8 @@ def expand_wave(
     smallest depth.
     """
     wave, rest = dequeue_n(frontier, n)
-    reached = links.join(
-        wave.select(F.col("url").alias("src"), (F.col("depth") + 1).alias("depth")), "src"
-    )
+    sources = wave.select(F.col("url").alias("src"), (F.col("depth") + 1).alias("depth"))
+    reached = links.join(join_side(sources, "src"), "src")
     fresh = unvisited(unvisited(next_urls(reached), visited), wave)
     pending = (
         rest.select("url", "depth").unionByName(fresh).groupBy("url").agg(F.min("depth").alias("depth"))

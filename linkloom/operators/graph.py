@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.urls import PROTOCOL
+from linkloom.operators.keys import join_side, only_keys
 from linkloom.operators.links import kept_links
 from linkloom.operators.policy import Forgiveness
 from linkloom.session import settle
@@ -115,8 +116,8 @@ def edges_by_url(links: DataFrame, vertices: DataFrame) -> DataFrame:
     target = vertices.select(F.col("url").alias("dst"), F.col("id").alias("dst_id"))
     return (
         links.select("src", "dst")
-        .join(source, "src")
-        .join(target, "dst")
+        .join(join_side(source, "src"), "src")
+        .join(join_side(target, "dst"), "dst")
         .select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), F.lit(LINK).alias("type"))
     )
 
@@ -135,7 +136,7 @@ def labelled_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """
     for end in ("src", "dst"):
         labels = vertices.select(F.col("id").alias(end), F.col("url").alias(f"{end}_url"))
-        edges = edges.join(labels, end, "left")
+        edges = edges.join(join_side(labels, end), end, "left")
 
     def label(end: str) -> Column:
         return F.coalesce(f"{end}_url", F.concat(F.lit("unknown-"), F.col(end).cast("string"))).alias(f"{end}_label")
@@ -150,7 +151,7 @@ def resolve_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """
     for end in ("src", "dst"):
         stored = vertices.select(F.col("id").alias(end), F.col("url").alias(f"{end}_url"))
-        edges = edges.join(stored, end)
+        edges = edges.join(join_side(stored, end), end)
     return edges.select("src", "dst", "src_url", "dst_url", "type")
 
 
@@ -169,7 +170,7 @@ def in_degree(links: DataFrame) -> DataFrame:
 
 def crawled_links(links: DataFrame, crawled: DataFrame) -> DataFrame:
     """The links of crawled pages only."""
-    return links.join(crawled.select(F.col("url").alias("src")), "src", "left_semi")
+    return only_keys(links, crawled.select(F.col("url").alias("src")), "src")
 
 
 def crawl_size(links: DataFrame) -> DataFrame:

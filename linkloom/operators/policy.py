@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.urls import PROTOCOL
+from linkloom.operators.keys import without_keys
 
 POLICIES = ("strict", "forgive", "lax")
 Forgiveness = Sequence[str] | Callable[[Column], Column]
@@ -83,7 +84,7 @@ def apply_policy(
     blocking = rows.filter(_blocks(F.col("error_class"), policy, forgive))
     if key is None:
         return kept.filter(~blocking.exists())
-    return kept.join(blocking.select(key).distinct(), key, "left_anti")
+    return without_keys(kept, blocking, key)
 
 
 def failure_log(rows: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows one task of an iterative job should hold before another is added.
 ROWS_PER_TASK = 50_000
+# Rows beyond which one task would spill; more partitions are taken, whatever the session says.
+MOST_ROWS_PER_TASK = 5_000_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -48,9 +50,10 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def loop_width(spark: SparkSession, rows: int) -> int:
-    """Partitions for an iterative job: the session's number, fewer if ``rows`` is small."""
-    allowed = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(allowed, math.ceil(rows / ROWS_PER_TASK)))
+    """Partitions for an iterative job: the session's number, fewer for few ``rows``, more for very many."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = math.ceil(rows / MOST_ROWS_PER_TASK)
+    return max(1, least, min(usual, math.ceil(rows / ROWS_PER_TASK)))
 
 
 @contextmanager

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.functions.urls import NOT_FOUND, absolute_url, can_parse
+from linkloom.operators.keys import join_side, only_keys
 from linkloom.operators.policy import Forgiveness, apply_policy
 
 PAGE_SCHEMA = T.StructType(
@@ -49,7 +50,7 @@ def fetch(wanted: DataFrame, pages: DataFrame) -> DataFrame:
     page side when one URL has very many copies.
     """
     asked = wanted.select("url")
-    hits = pages.select("url", "html").join(asked, "url").withColumn("error_class", F.lit(None).cast("string"))
+    hits = pages.select("url", "html").join(join_side(asked, "url"), "url").withColumn("error_class", F.lit(None).cast("string"))
     misses = asked.join(pages.select("url").distinct(), "url", "left_anti").select(
         "url", F.lit(None).cast("string").alias("html"), F.lit(NOT_FOUND).alias("error_class")
     )
@@ -58,5 +59,4 @@ def fetch(wanted: DataFrame, pages: DataFrame) -> DataFrame:
 
 def parse_gate(pages: DataFrame, batch: str) -> DataFrame:
     """All pages of the batches in which at least one URL looks like HTML."""
-    open_batches = pages.filter(can_parse(F.col("url"))).select(batch).distinct()
-    return pages.join(open_batches, batch, "left_semi")
+    return only_keys(pages, pages.filter(can_parse(F.col("url"))), batch)
