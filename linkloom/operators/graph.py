@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.urls import PROTOCOL
-from linkloom.operators.keys import join_side, only_keys
+from linkloom.operators.keys import only_keys
 from linkloom.operators.links import kept_links
 from linkloom.operators.policy import Forgiveness
 from linkloom.session import settle
@@ -109,15 +109,16 @@ def global_graph(
 def edges_by_url(links: DataFrame, vertices: DataFrame) -> DataFrame:
     """``edges(src, dst, type)`` by looking both ends up; links with an unknown end are dropped.
 
-    Both joins have the links on the left, so adaptive execution splits the
-    partition of a hub URL.
+    ``vertices`` is a stored or settled table (as here and in the lookups
+    below): both sides of a join are then plain shuffles, and adaptive
+    execution splits the partition of a hub.
     """
     source = vertices.select(F.col("url").alias("src"), F.col("id").alias("src_id"))
     target = vertices.select(F.col("url").alias("dst"), F.col("id").alias("dst_id"))
     return (
         links.select("src", "dst")
-        .join(join_side(source, "src"), "src")
-        .join(join_side(target, "dst"), "dst")
+        .join(source, "src")
+        .join(target, "dst")
         .select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), F.lit(LINK).alias("type"))
     )
 
@@ -126,7 +127,7 @@ def property_graph(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, Da
     """One vertex per id, edge end-points included (without URL); of several URLs the smallest stays."""
     ends = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
     every = vertices.select("id", "url").unionByName(ends.withColumn("url", F.lit(None).cast("string")))
-    return every.groupBy("id").agg(F.min("url").alias("url")), edges
+    return settle(every.groupBy("id").agg(F.min("url").alias("url"))), edges
 
 
 def labelled_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def labelled_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """
     for end in ("src", "dst"):
         labels = vertices.select(F.col("id").alias(end), F.col("url").alias(f"{end}_url"))
-        edges = edges.join(join_side(labels, end), end, "left")
+        edges = edges.join(labels, end, "left")
 
     def label(end: str) -> Column:
         return F.coalesce(f"{end}_url", F.concat(F.lit("unknown-"), F.col(end).cast("string"))).alias(f"{end}_label")
@@ -151,7 +152,7 @@ def resolve_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """
     for end in ("src", "dst"):
         stored = vertices.select(F.col("id").alias(end), F.col("url").alias(f"{end}_url"))
-        edges = edges.join(join_side(stored, end), end)
+        edges = edges.join(stored, end)
     return edges.select("src", "dst", "src_url", "dst_url", "type")
 
 

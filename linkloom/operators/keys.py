@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def join_side(keys: DataFrame, key: str) -> DataFrame:
-    """``keys`` shuffled by ``key`` right below a join.
+def join_side(few: DataFrame, key: str) -> DataFrame:
+    """``few`` rows, unique on ``key``, made ready to meet many rows in a join.
 
-    Adaptive execution splits a hot partition of the other side only if both
-    sides of the join are plain shuffles.  A side that was aggregated, or that
-    is partitioned already, would be used as it is and rule that out.  Only
-    these (few, distinct) rows are shuffled once more.
+    Adaptive execution splits a hot partition of the many rows only if both
+    sides of the join are plain shuffles.  A side that was aggregated or laid
+    out by ``key`` before would be used as it is and rule that out, so it is
+    placed by another hash first; only the few rows move once more.
     """
-    return keys.repartition(key)
+    return few.repartition(F.xxhash64(key))
 
 
 def only_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:

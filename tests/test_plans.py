@@ -74,3 +74,17 @@ def test_a_hot_batch_is_split(spark):
         kept = policy.apply_policy(found, "batch", "strict")
         kept.collect()
         assert "skew=true" in plan(kept)
+
+
+def test_a_hub_is_split_in_lookups(spark):
+    edges = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 5000).otherwise(0).alias("src"),
+        (F.col("id") % 5000).alias("dst"),
+        F.md5(F.col("id").cast("string")).alias("type"),
+    )
+    vertices = settle(spark.range(5000).select("id", F.col("id").cast("string").alias("url")))
+    with skewed(spark):
+        for look_up in (graph.resolve_edges, graph.labelled_edges):
+            found = look_up(vertices, edges)
+            found.collect()
+            assert "skew=true" in plan(found)
