@@ -26,6 +26,11 @@ def _decoded(text: Column) -> Column:
     return text
 
 
+def _unquoted(value: Column) -> Column:
+    quoted = value.startswith('"') | value.startswith("'")
+    return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
 def page_hrefs(html: Column) -> Column:
     """``array<string>``: the ``href`` of every anchor that has one, in document order."""
     tags = F.filter(F.regexp_extract_all(html, F.lit(_ANCHORS), F.lit(1)), lambda tag: tag != "")
@@ -37,6 +42,6 @@ def page_hrefs(html: Column) -> Column:
 
     found = F.filter(F.transform(tags, written), lambda value: value.isNotNull())
     return F.transform(
-        found,
-        lambda value: _decoded(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1\z""", "$2")),
+        F.transform(found, _unquoted),
+        lambda value: F.when(value.contains("&"), _decoded(value)).otherwise(value),
     )

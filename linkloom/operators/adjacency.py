@@ -30,6 +30,12 @@ class Adjacency:
     hot_sources: DataFrame | None
     width: int
 
+    def release(self) -> None:
+        """Free the cached edges, once nothing follows them any more."""
+        for frame in (self.cold, self.hot):
+            if frame is not None:
+                frame.unpersist()
+
     def follow(self, values: DataFrame) -> DataFrame:
         """Each edge joined with its source's row of ``values`` (unique on ``src``)."""
         reached = self.cold.join(values, "src")
@@ -41,7 +47,11 @@ class Adjacency:
 
 
 def lay_out(edges: DataFrame, hot_edges: int = HOT_EDGES) -> Adjacency:
-    """Lay out settled edges ``(src, dst, ...)`` for :meth:`Adjacency.follow`."""
+    """Lay out edges ``(src, dst, ...)`` for :meth:`Adjacency.follow`.
+
+    ``edges`` is a stage table.  Its layout is only cached: what a lost
+    executor held of it is laid out again from the table.
+    """
     spark = edges.sparkSession
     degrees = edges.groupBy("src").agg(F.count("*").alias("edges"))
     total = edges.count()
@@ -53,8 +63,8 @@ def lay_out(edges: DataFrame, hot_edges: int = HOT_EDGES) -> Adjacency:
         crowded = settle(degrees.filter(F.col("edges") > bound).select("src"))
         if not crowded.isEmpty():
             hot_sources = crowded
-            hot = settle(edges.join(F.broadcast(crowded), "src", "left_semi"))
+            hot = edges.join(F.broadcast(crowded), "src", "left_semi").persist()
             cold = edges.join(F.broadcast(crowded), "src", "left_anti")
     with iterating(spark, width):
-        cold = settle(cold.repartition(width, "src").sortWithinPartitions("src"))
+        cold = cold.repartition(width, "src").sortWithinPartitions("src").persist()
     return Adjacency(cold, hot, hot_sources, width)

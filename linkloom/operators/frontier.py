@@ -15,7 +15,7 @@ from linkloom.operators.links import extract_links
 from linkloom.operators.ordering import head_cut, up_to
 from linkloom.operators.policy import Forgiveness
 from linkloom.operators.queue import ORDER, dequeue_n
-from linkloom.session import iterating, settle
+from linkloom.session import iterating, settle, stage_table
 
 MODES = ("level", "best_first")
 
@@ -100,14 +100,17 @@ def crawl(
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; one of {MODES}")
-    links = settle(admitted_links(pages, heuristics, policy, forgive))
+    links = stage_table(admitted_links(pages, heuristics, policy, forgive), "links")
     adjacency = lay_out(links, hot_edges)
     start = seed_frontier(seeds, heuristics)
     with iterating(pages.sparkSession, adjacency.width):
         start = settle(start.repartition(adjacency.width, "url"))
         if mode == "level":
-            return _by_level(adjacency, start, max_depth, max_pages, heuristics)
-        return _best_first(adjacency, start, max_depth, wave_size, max_pages, heuristics)
+            visited = _by_level(adjacency, start, max_depth, max_pages, heuristics)
+        else:
+            visited = _best_first(adjacency, start, max_depth, wave_size, max_pages, heuristics)
+        adjacency.release()
+    return visited
 
 
 def _by_level(

@@ -11,7 +11,7 @@ from linkloom.functions.urls import PROTOCOL
 from linkloom.operators.keys import only_keys
 from linkloom.operators.links import kept_links
 from linkloom.operators.policy import Forgiveness
-from linkloom.session import settle
+from linkloom.session import settle, stage_table
 
 LINK = "link"
 
@@ -65,7 +65,7 @@ def number_urls(
     with another seed until all ids differ, and are returned as the second
     frame (null if there are none).
     """
-    vertices = settle(urls.select(hash_of(F.col("url"), 0).alias("id"), "url"))
+    vertices = stage_table(urls.select(hash_of(F.col("url"), 0).alias("id"), "url"), "vertices")
     moved: DataFrame | None = None
     attempt = 0
     while True:
@@ -75,7 +75,8 @@ def number_urls(
             return vertices, moved
         attempt += 1
         again = clashing.select(hash_of(F.col("url"), attempt).alias("id"), "url")
-        vertices = settle(vertices.join(clashing, "url", "left_anti").select("id", "url").unionByName(again))
+        others = vertices.join(clashing, "url", "left_anti").select("id", "url")
+        vertices = stage_table(others.unionByName(again), "vertices")
         earlier = [] if moved is None else [moved.join(clashing, "url", "left_anti").select("id", "url")]
         moved = again
         for frame in earlier:
@@ -127,7 +128,7 @@ def property_graph(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, Da
     """One vertex per id, edge end-points included (without URL); of several URLs the smallest stays."""
     ends = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
     every = vertices.select("id", "url").unionByName(ends.withColumn("url", F.lit(None).cast("string")))
-    return settle(every.groupBy("id").agg(F.min("url").alias("url"))), edges
+    return stage_table(every.groupBy("id").agg(F.min("url").alias("url")), "vertices"), edges
 
 
 def labelled_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.html import page_hrefs
-from linkloom.functions.urls import PROTOCOL, base_parts, bind, can_parse, resolve_against
+from linkloom.functions.urls import PROTOCOL, base_of, bind, can_parse, resolve_against
 from linkloom.operators.policy import Forgiveness, first_failure, surviving
 
 
@@ -36,16 +36,16 @@ def _outcomes() -> Column:
     Built once per process: the expression is long, and its names are fixed.
     """
 
-    def resolved(parts: Column) -> Column:
+    def resolved(page: Column) -> Column:
         return F.transform(
             F.col("hrefs"),
             lambda href: bind(
-                resolve_against(parts, href),
+                resolve_against(page, href),
                 lambda r: F.struct(href.alias("href"), r["dst"].alias("dst"), r["error_class"].alias("error_class")),
             ),
         )
 
-    return bind(base_parts(F.col("url")), resolved).alias("outcomes")
+    return bind(base_of(F.col("url")), resolved).alias("outcomes")
 
 
 def page_outcomes(pages: DataFrame) -> DataFrame:

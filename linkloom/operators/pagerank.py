@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linkloom.operators.adjacency import HOT_EDGES, Adjacency, lay_out
-from linkloom.session import iterating, settle
+from linkloom.session import iterating, settle, stage_table
 
 RESET = 0.15
 TOLERANCE = 1e-4
@@ -42,7 +42,7 @@ def pagerank(
     shared checkpoint folder, so lineage stays short and a lost executor costs
     a few rounds at most.
     """
-    weighted = settle(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")))
+    weighted = stage_table(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")), "weights")
     adjacency = lay_out(weighted, hot_edges)
     out_degrees = weighted.groupBy(F.col("src").alias("id")).agg(F.sum("copies").alias("out_degree"))
     with iterating(edges.sparkSession, adjacency.width):
@@ -53,6 +53,7 @@ def pagerank(
             .sortWithinPartitions("id")
         )
         ranks = _until_settled(adjacency, nodes, tol) if iterations is None else _rounds(adjacency, nodes, iterations)
+        adjacency.release()
         scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).first()["scale"]
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("rank"))
 

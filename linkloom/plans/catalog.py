@@ -13,7 +13,7 @@ from linkloom.operators import frontier, graph, links, policy, queue
 from linkloom.operators.ordering import with_position
 from linkloom.operators.pagerank import label_ranks, pagerank
 from linkloom.plans import corpora
-from linkloom.session import settle, stage_path
+from linkloom.session import settle, stage_path, stage_table
 from linkloom.sinks import graph_tables
 from linkloom.sources import pages as sources
 from linkloom.streaming import accumulate
@@ -279,8 +279,8 @@ def page_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links of the given pages, settled, with their global vertices and edges."""
-    found = settle(links.extract_links(corpora.pages(spark, sf_dir)).select("src", "dst"))
+    """Links of the given pages, as a stage table, with their global vertices and edges."""
+    found = stage_table(links.extract_links(corpora.pages(spark, sf_dir)).select("src", "dst"), "links")
     return (found, *graph.global_graph(found))
 
 
@@ -385,7 +385,7 @@ def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def frontier_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = settle(frontier.admitted_links(corpora.shop_pages(spark, sf_dir)))
+    found = stage_table(frontier.admitted_links(corpora.shop_pages(spark, sf_dir)), "links")
     pending = frontier.seed_frontier(corpora.shop_seeds(spark, sf_dir))
     visited = pending.select("url").filter(F.lit(False))
     for size in WAVES:

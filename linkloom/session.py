@@ -43,8 +43,26 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/linkloom/{name}-{uuid.uuid4().hex}"
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and read it back.
+
+    For results that several later jobs scan.  The table is removed when the
+    session's JVM ends.
+    """
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage."""
+    """Compute ``df`` once into a checkpoint and cut its lineage.
+
+    For the states of a loop: unlike a table, a checkpoint made under
+    :func:`iterating` keeps its partitioning and order.
+    """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
