@@ -16,7 +16,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEADLINE = (
-    "page_links",
+    "links",
     "links_forgive",
     "in_degree",
     "top_linked",

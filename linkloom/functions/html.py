@@ -19,11 +19,36 @@ _ANCHORS = (
 _HREF = r"""(?is)(?<=[\s"'])href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)|"[^"]*+"|'[^']*+'"""
 
 
+# The basic named character references.
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
+
+def _character(name: Column) -> Column:
+    """The character of a reference's name (``amp``, ``#38``, ``#x26``), or null."""
+    code = F.when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7).cast("int")).when(
+        name.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10).cast("int")
+    )
+    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    found = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), character)
+    for known, text in _NAMED.items():
+        found = F.when(name == known, text).otherwise(found)
+    return found
+
+
 def _decoded(text: Column) -> Column:
-    """The five basic character references; the ampersand comes last."""
-    for reference, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(reference), F.lit(character))
-    return text
+    """Basic and numeric character references, each decoded once."""
+
+    def piece(after: Column) -> Column:
+        name = F.substring_index(after, ";", 1)
+        character = F.when(after.contains(";"), _character(name))
+        rest = F.substring(after, F.length(name) + 2, F.length(after))
+        return F.coalesce(F.concat(character, rest), F.concat(F.lit("&"), after))
+
+    pieces = F.split(text, "&", -1)
+    return F.concat(
+        F.element_at(pieces, 1),
+        F.concat_ws("", F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece)),
+    )
 
 
 def _unquoted(value: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from linkloom.session import settle
+from linkloom.session import stage_table
 
 # Up to this many rows a top-k heap per task is cheaper than a distributed sort.
 TOP_ROWS = 10_000
@@ -21,8 +21,8 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
     parallel; only the partition sizes, one small row per partition, go through
     a running sum.
     """
-    # The sorted frame is settled so that slots and sizes are read from one and the same sort.
-    placed = settle(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
+    # The sorted frame is stored so that slots and sizes come from one and the same sort.
+    placed = stage_table(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()), "sorted")
     part = F.shiftrightunsigned(F.col("_slot"), _INDEX_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -78,11 +78,13 @@ def link_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.link_outcomes(corpora.mixed_pages(spark, sf_dir)).select("page_id", "pos", "dst", "error_class")
 
 
-@query
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.extract_links(corpora.pages(spark, sf_dir)).select("page_id", "pos", "src", "dst")
 
 
+QUERIES["links"] = page_links
+
+
 @query
 def link_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.extract_links(corpora.mixed_pages(spark, sf_dir)).select("page_id", "pos", "dst")

@@ -274,7 +274,7 @@ def oracle_queries() -> dict[str, str]:
         "page_text": "SELECT page_id, url, md5(html) AS html_md5 FROM pages",
         "page_hrefs": over(MIXED, "SELECT page_id, pos, href FROM found"),
         "link_outcomes": over(MIXED, "SELECT page_id, pos, dst, error_class FROM found"),
-        "page_links": over(PLAIN, FOUR),
+        "links": over(PLAIN, FOUR),
         "link_positions": over(MIXED, "SELECT page_id, pos, dst FROM kept"),
         "links_strict": over(MIXED, FOUR, FAILS_STRICT),
         "links_forgive": over(MIXED, FOUR, FAILS_FORGIVE),

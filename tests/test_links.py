@@ -29,7 +29,10 @@ HREFS = [
     ('<style>a{}</style><a href="/s">', ["/s"]),
     ('<a\nhref="/n">x</a><p><a href="/m">', ["/n", "/m"]),
     ('<a href="&amp;lt;">', ["&lt;"]),
+    ('<a href="/&#38;lt;&#x2F;&#233;&#x1F600;&#39;&quot;&gt;">', ["/&lt;/é😀'\">"]),
+    ('<a href="?a=1&b=2&nosuch;&#xD800;&#;&#99999999;&">', ["?a=1&b=2&nosuch;&#xD800;&#;&#99999999;&"]),
     ('<a href="/once" href="/twice">', ["/twice"]),
+    ('<a class="k"href="/close">', ["/close"]),
     ('<!-- open <a href="/no">', []),
     ("", []),
 ]
