@@ -166,15 +166,24 @@ def _best_first(
             adjacency.follow(sources.select(F.col("url").alias("src"), (F.col("depth") + 1).alias("depth")))
         )
         marked = state.withColumn("wave", F.when(picked, F.lit(wave)).otherwise(F.col("wave")))
-        shallower = reached.select("url", F.col("depth").alias("_depth"))
-        kept = marked.join(shallower, "url", "left").select(
-            "url",
-            "priority",
-            F.when(F.col("wave").isNull(), F.least("depth", "_depth")).otherwise(F.col("depth")).alias("depth"),
-            "wave",
+        found = reached.select(
+            "url", F.lit(None).cast("int").alias("priority"), "depth", F.lit(None).cast("int").alias("wave")
+        )
+        # Both are partitioned by URL, so they merge where they lie.
+        merged = marked.unionByName(found).groupBy("url").agg(
+            F.max("priority").alias("priority"),
+            F.min("depth").alias("depth"),
+            F.max(F.when(F.col("wave").isNotNull(), F.col("depth"))).alias("visited_at"),
+            F.max("wave").alias("wave"),
+        )
+        state = settle(
+            merged.select(
+                "url",
+                F.coalesce("priority", heuristics.priority(F.col("url")).cast("int")).alias("priority"),
+                F.coalesce("visited_at", "depth").alias("depth"),
+                "wave",
+            )
         )
-        added = scored(unvisited(reached, state), heuristics).withColumn("wave", F.lit(None).cast("int"))
-        state = settle(kept.unionByName(added))
         visited += taken
         wave += 1
     return state.filter(F.col("wave").isNotNull()).select("url", "depth", "priority", "wave")

@@ -83,11 +83,14 @@ def iterating(spark: SparkSession, width: int) -> Iterator[None]:
     is done beforehand (``width`` is chosen from counted rows, hot keys are
     split off by :mod:`linkloom.operators.adjacency`).  Size-estimated broadcasts
     are off too: only sides of a proven size are broadcast, by explicit hint.
+    So is the inference of filters across joins, which would test the URLs of
+    all edges again because the seeds were tested.
     """
     wanted = {
         "spark.sql.adaptive.enabled": "false",
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.constraintPropagation.enabled": "false",
     }
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
