@@ -34,6 +34,9 @@ def pagerank(
 ) -> DataFrame:
     """``ranks(id, rank)`` of ``edges(src, dst)``; every end-point and given vertex has a rank.
 
+    Ids may be of any type; numbers (see :func:`linkloom.operators.graph.global_graph`)
+    make the smallest messages.
+
     Without ``iterations`` a vertex keeps passing on its change until the
     change is at most ``tol``, and the loop ends when none is left; with it,
     exactly that many rounds run from ranks of 1.
