@@ -46,16 +46,17 @@ class Adjacency:
         return reached.unionByName(self.hot.join(F.broadcast(few), "src"))
 
 
-def lay_out(edges: DataFrame, hot_edges: int = HOT_EDGES) -> Adjacency:
+def lay_out(edges: DataFrame, hot_edges: int = HOT_EDGES, companions: int = 0) -> Adjacency:
     """Lay out edges ``(src, dst, ...)`` for :meth:`Adjacency.follow`.
 
     ``edges`` is a stage table.  Its layout is only cached: what a lost
-    executor held of it is laid out again from the table.
+    executor held of it is laid out again from the table.  ``companions`` is the
+    number of rows of the largest frame to be partitioned alike.
     """
     spark = edges.sparkSession
     degrees = edges.groupBy("src").agg(F.count("*").alias("edges"))
     total = edges.count()
-    width = loop_width(spark, total)
+    width = loop_width(spark, max(total, companions))
     bound = max(hot_edges, total // (HOT_SHARE * width))
     hot = hot_sources = None
     cold = edges

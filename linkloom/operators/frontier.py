@@ -101,8 +101,8 @@ def crawl(
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; one of {MODES}")
     links = stage_table(admitted_links(pages, heuristics, policy, forgive), "links")
-    adjacency = lay_out(links, hot_edges)
-    start = seed_frontier(seeds, heuristics)
+    start = stage_table(seed_frontier(seeds, heuristics), "seeds")
+    adjacency = lay_out(links, hot_edges, start.count())
     with iterating(pages.sparkSession, adjacency.width):
         start = settle(start.repartition(adjacency.width, "url"))
         if mode == "level":

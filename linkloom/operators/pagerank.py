@@ -18,11 +18,14 @@ TOLERANCE = 1e-4
 ROUNDS_PER_STAGE = 5
 
 
-def _vertex_ids(edges: DataFrame, vertices: DataFrame | None) -> DataFrame:
-    ids = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
+def _nodes(weighted: DataFrame, vertices: DataFrame | None) -> DataFrame:
+    """``(id, out_degree)`` of every end-point and given vertex, from one aggregation."""
+    ends = weighted.select(F.col("src").alias("id"), "copies").unionByName(
+        weighted.select(F.col("dst").alias("id"), F.lit(0).cast("bigint").alias("copies"))
+    )
     if vertices is not None:
-        ids = ids.unionByName(vertices.select("id"))
-    return ids.distinct()
+        ends = ends.unionByName(vertices.select("id", F.lit(0).cast("bigint").alias("copies")))
+    return ends.groupBy("id").agg(F.sum("copies").alias("out_degree"))
 
 
 def pagerank(
@@ -46,15 +49,10 @@ def pagerank(
     a few rounds at most.
     """
     weighted = stage_table(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")), "weights")
-    adjacency = lay_out(weighted, hot_edges)
-    out_degrees = weighted.groupBy(F.col("src").alias("id")).agg(F.sum("copies").alias("out_degree"))
+    adjacency = lay_out(weighted, hot_edges, 0 if vertices is None else vertices.count())
     with iterating(edges.sparkSession, adjacency.width):
-        nodes = settle(
-            _vertex_ids(weighted, vertices)
-            .join(out_degrees, "id", "left")
-            .repartition(adjacency.width, "id")
-            .sortWithinPartitions("id")
-        )
+        # Aggregated by id under the loop's settings, so already partitioned like its edges.
+        nodes = settle(_nodes(weighted, vertices).sortWithinPartitions("id"))
         ranks = _until_settled(adjacency, nodes, tol) if iterations is None else _rounds(adjacency, nodes, iterations)
         adjacency.release()
         scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).first()["scale"]
@@ -63,7 +61,7 @@ def pagerank(
 
 def _received(adjacency: Adjacency, passing: DataFrame, amount: str) -> DataFrame:
     """``(id, received)``: the damped sum of what each vertex is sent."""
-    shares = passing.filter(F.col("out_degree").isNotNull()).select(
+    shares = passing.filter(F.col("out_degree") > 0).select(
         F.col("id").alias("src"), (F.col(amount) / F.col("out_degree")).alias("share")
     )
     return (
@@ -88,7 +86,7 @@ def _rounds(adjacency: Adjacency, nodes: DataFrame, iterations: int) -> DataFram
 def _until_settled(adjacency: Adjacency, nodes: DataFrame, tol: float) -> DataFrame:
     """Ranks start at the reset value, all of it yet to be passed on."""
     state = nodes.select("id", "out_degree", F.lit(RESET).alias("rank"), F.lit(RESET).alias("delta"))
-    passing = (F.col("delta") > tol) & F.col("out_degree").isNotNull()
+    passing = (F.col("delta") > tol) & (F.col("out_degree") > 0)
     active = state.filter(passing).count()
     while active:
         received = _received(adjacency, state.filter(passing), "delta")

@@ -76,7 +76,8 @@ def apply_policy(
 ) -> DataFrame:
     """The rows that survive ``policy`` with ``key`` as the group.
 
-    Without a key all rows are one group.
+    Without a key all rows are one group.  ``rows`` is read twice, for the
+    failures and for the survivors: pass a stage table if it is costly to make.
     """
     kept = rows.filter(F.col("error_class").isNull())
     if policy == "lax":

@@ -118,7 +118,8 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def links_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = policy.apply_policy(_batches(spark, sf_dir), "batch", "forgive")
+    found = stage_table(_batches(spark, sf_dir), "outcomes")
+    kept = policy.apply_policy(found, "batch", "forgive")
     return kept.select("batch", "page_id", "pos", "dst")
 
 
@@ -170,7 +171,8 @@ def links_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def seed_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many seeds each policy reads from all hrefs of the mixed pages."""
-    texts = links.link_outcomes(corpora.mixed_pages(spark, sf_dir)).select(F.col("href").alias("url")).distinct()
+    hrefs = links.link_outcomes(corpora.mixed_pages(spark, sf_dir)).select(F.col("href").alias("url"))
+    texts = stage_table(hrefs.distinct(), "texts")
     counted = [
         sources.seeds(texts, "url", name, (urls.MALFORMED,)).agg(F.count("*").alias("seeds")).select(
             F.lit(name).alias("policy"), "seeds"
@@ -182,9 +184,9 @@ def seed_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parse_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given pages and the image links of the mixed pages, gated by host."""
-    pages = every_url(spark, sf_dir).withColumn("batch", urls.host_of(F.col("url")))
-    return sources.parse_gate(pages, "batch").select("batch", "url")
+    """All URLs of the mixed pages, gated by host."""
+    found = every_url(spark, sf_dir).withColumn("batch", urls.host_of(F.col("url")))
+    return sources.parse_gate(stage_table(found, "urls"), "batch").select("batch", "url")
 
 
 # URL functions.
@@ -305,7 +307,7 @@ def global_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def edges_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges among the targets alone: sources without a vertex drop out unless they are targets too."""
-    found = links.extract_links(corpora.mixed_pages(spark, sf_dir)).select("src", "dst")
+    found = stage_table(links.extract_links(corpora.mixed_pages(spark, sf_dir)).select("src", "dst"), "links")
     targets, _ = graph.number_urls(found.select(F.col("dst").alias("url")).distinct())
     return _by_url(targets, graph.edges_by_url(found, targets))
 
@@ -380,7 +382,7 @@ def unvisited_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = every_url(spark, sf_dir)
+    wanted = stage_table(every_url(spark, sf_dir), "wanted")
     found = sources.fetch(wanted, corpora.pages(spark, sf_dir))
     return found.select("url", F.md5("html").alias("html_md5"), "error_class")
 

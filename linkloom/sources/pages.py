@@ -58,5 +58,8 @@ def fetch(wanted: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def parse_gate(pages: DataFrame, batch: str) -> DataFrame:
-    """All pages of the batches in which at least one URL looks like HTML."""
+    """All pages of the batches in which at least one URL looks like HTML.
+
+    Of the second reading of ``pages`` only the URL and the batch are needed.
+    """
     return only_keys(pages, pages.filter(can_parse(F.col("url"))), batch)

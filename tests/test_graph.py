@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom.functions import heuristics
 from linkloom.operators import graph, links
 from linkloom.sinks import graph_tables
 from linkloom.sources.pages import PAGE_SCHEMA
@@ -84,6 +85,15 @@ def test_counts(spark, rows):
     assert graph.append(frame, frame).count() == 2 * len(LINKS)
 
 
+def test_in_degrees_add_up_to_the_admitted_links(spark):
+    frame = spark.createDataFrame(
+        [("a", f"http://h/{i % 7}{'.jpg' if i % 5 == 0 else ''}") for i in range(40)], "src string, dst string"
+    )
+    admitted = heuristics.DEFAULT.admit(frame, "dst")
+    total = graph.in_degree(admitted).agg(F.sum("in_degree")).first()[0]
+    assert total == admitted.count() == 32
+
+
 def test_empty_graph_counts_zero(spark, rows):
     nothing = spark.createDataFrame([], "src string, dst string")
     vertices, edges = graph.global_graph(nothing)
