@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import exact_dedup, licenses
+from linkloom.llm import exact_dedup, licenses, toxicity
 from linkloom.llm.words import table
 
 
@@ -14,12 +14,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
 }
 
