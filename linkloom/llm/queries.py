@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import exact_dedup, licenses, toxicity
+from linkloom.llm import decontaminate, exact_dedup, languages, licenses, pieces, toxicity
 from linkloom.llm.words import table
 
 
+# The public model that texts are encoded with; another place can be set in the environment.
+PIECE_MODEL = os.environ.get("LINKLOOM_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.tokenised(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.language_id(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -23,7 +40,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op3_language_id": op3_language_id,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
 }
