@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontaminate, exact_dedup, languages, licenses, pieces, toxicity
+from linkloom.llm import decontaminate, exact_dedup, languages, licenses, pieces, suffix_tree, toxicity
 from linkloom.llm.words import table
 
 
@@ -23,6 +23,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.language_id(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.suffix_tree_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_language_id": op3_language_id,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_lm_score": op6_lm_score,
     "op7_decontamination": op7_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
