@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontaminate, exact_dedup, languages, licenses, pieces, suffix_tree, toxicity
+from linkloom.llm import decontaminate, exact_dedup, languages, licenses, pieces, repeats, suffix_tree, toxicity
 from linkloom.llm.words import table
 
 
@@ -31,6 +31,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_language_id": op3_language_id,
+    "op4_repeats": op4_repeats,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_lm_score": op6_lm_score,
     "op7_decontamination": op7_decontamination,
