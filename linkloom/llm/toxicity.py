@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import string
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -21,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.words import WordCache, held_out
+from linkloom.llm.words import CACHED_WORDS, WordCache, batches, held_out
 
-DECAY = 0.75
+DECAY = 0.65
 # Offsets of a subsequence's later letters; at most two letters are skipped.
 STEPS = tuple(
     (a, b, c) for a in range(1, 4) for b in range(a + 1, 5) for c in range(b + 1, 6)
@@ -42,7 +43,9 @@ BIAS = -1.0
 NO_WORDS = -1.5
 
 SPELLED_OUT = re.compile(r"(?<!\S)\w(?:[ \t]+\w(?!\S)){2,}")
-EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+EDGES = string.punctuation + "…“”„«»¡¿"
+LONGEST = 64
+FILTER = 1 << 20
 
 
 def words_of(text: str) -> set[str]:
@@ -54,16 +57,27 @@ def words_of(text: str) -> set[str]:
     return words
 
 
+def marked(word: str) -> str:
+    """A word without the punctuation around it, its ends marked."""
+    return f"^{word.strip(EDGES)[:LONGEST]}$"
+
+
+# The norm of a word of each length, all its subsequences taken as different.
+NORMS = np.sqrt(
+    [1e-9 + sum(max(0, n - steps[2]) * w * w for steps, w in zip(STEPS, WEIGHTS, strict=True)) for n in range(LONGEST + 3)]
+)
+
+
 def subsequences(word: str) -> dict[str, float]:
-    """The normalised feature vector of a word, its ends marked."""
-    bare = f"^{EDGES.sub('', word)[:64]}$" if word else "^$"
+    """The normalised feature vector of a word."""
+    bare = marked(word)
     found: dict[str, float] = {}
     size = len(bare)
     for (a, b, c), weight in zip(STEPS, WEIGHTS, strict=True):
         for i in range(size - c):
             key = bare[i] + bare[i + a] + bare[i + b] + bare[i + c]
             found[key] = found.get(key, 0.0) + weight
-    norm = math.sqrt(sum(x * x for x in found.values())) or 1.0
+    norm = NORMS[size]
     return {key: x / norm for key, x in found.items()}
 
 
@@ -105,7 +119,7 @@ def _telling(bags: list[set[str]], labels: np.ndarray) -> dict[str, float]:
 
 
 def _pieces(word: str) -> Iterable[str]:
-    bare = f"^{EDGES.sub('', word)[:64]}$"
+    bare = marked(word)
     return (bare[i : i + n] for n in (4, 5, 6) for i in range(len(bare) - n + 1))
 
 
@@ -129,7 +143,7 @@ class _Kernel:
                 self.matrix[row, self.columns[key]] = value
 
     def against(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.matrix)))
+        out = np.zeros((len(words), len(self.matrix)), np.float32)
         for row, word in enumerate(words):
             pairs = [(self.columns[k], v) for k, v in subsequences(word).items() if k in self.columns]
             if pairs:
@@ -149,10 +163,11 @@ def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: fl
     The bias is fixed at ``BIAS``: a word that shares nothing with any landmark
     is clean.
     """
-    weight = weight / weight.sum()
+    x, y = x.astype(np.float32), y.astype(np.float32)
+    weight = (weight / weight.sum()).astype(np.float32)
     scale = 2 * float(np.linalg.norm(x * np.sqrt(weight)[:, None], 2) ** 2) + ridge
-    w = look = np.zeros(x.shape[1])
-    for step in range(300):
+    w = look = np.zeros(x.shape[1], np.float32)
+    for step in range(150):
         slack = np.maximum(0.0, 1 - y * (x @ look + BIAS))
         gradient = -2 * x.T @ (weight * y * slack) + ridge * look
         new = look - gradient / scale
@@ -188,13 +203,14 @@ def train(texts: list[str], toxic: list[bool], prior: float, seed: int = 7) -> T
     clean_words = Counter(word for bag, label in zip(bags, labels, strict=True) if not label for word in bag)
     negatives = [w for w, _ in clean_words.most_common(3_000)]
     rest = sorted(set(clean_words) - set(negatives))
-    negatives += rng.sample(rest, min(len(rest), 12_000))
+    negatives += rng.sample(rest, min(len(rest), 6_000))
     toxic_words = Counter(word for bag, label in zip(bags, labels, strict=True) if label for word in bag)
     share = (~labels).sum() / labels.sum()
 
     def rarely_clean(word: str) -> bool:
         return toxic_words[word] * share > 3 * clean_words[word]
 
+    everything = {word for bag in bags for word in bag}
     hard: list[str] = []
     score = told.__getitem__
     model = ToxicityModel({}, -1.0, 1.0, 0.0)
@@ -221,9 +237,10 @@ def train(texts: list[str], toxic: list[bool], prior: float, seed: int = 7) -> T
         w = _support_vectors(kernel.against(words) @ whitening, y, counts)
         expansion = whitening @ w @ kernel.matrix
         model = ToxicityModel(dict(zip(kernel.columns, expansion.tolist(), strict=True)), BIAS, 1.0, 0.0)
-        margins = WordCache(model.margin, 10**9)
+        margins = Margins(model)
+        margins.learn(everything)
         score = margins.__getitem__
-        tried = dict.fromkeys([*negatives, *rng.sample(rest, min(len(rest), 20_000))])
+        tried = dict.fromkeys([*negatives, *rest])
         hard = sorted((w for w in tried if score(w) > -0.6), key=score, reverse=True)[:4_000]
         negatives = list(dict.fromkeys([*negatives, *hard]))
     bag_margins = np.array([max(map(score, bag), default=NO_WORDS) for bag in bags])
@@ -262,15 +279,68 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int | None = 4) -
     return rows["text"].tolist(), (rows["toxic"] > 0).tolist(), prior
 
 
+class Margins(dict[str, float]):
+    """Margins of words, those not seen before computed an array at a time."""
+
+    def __init__(self, model: ToxicityModel) -> None:
+        super().__init__()
+        self.bias = model.bias
+        keys = np.array([self._code(key) for key in model.weights], np.uint64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.uint64(2**64 - 1))
+        self.weights = np.append(np.array(list(model.weights.values()), float)[order], 0.0)
+        self.may = np.zeros(FILTER, bool)
+        self.may[self._slot(keys)] = True
+
+    @staticmethod
+    def _code(key: str) -> int:
+        return sum(min(ord(char), 0xFFFF) << (16 * (3 - i)) for i, char in enumerate(key))
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+
+    def learn(self, words: Iterable[str]) -> None:
+        new = [word for word in words if word not in self]
+        if not new:
+            return
+        if self and len(self) + len(new) > CACHED_WORDS:
+            self.clear()
+            new = list(dict.fromkeys(words))
+        bare = [marked(word) for word in new]
+        sizes = np.fromiter(map(len, bare), np.int64, len(bare))
+        letters = np.frombuffer("".join(bare).encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters = np.minimum(letters, 0xFFFF).astype(np.uint64)
+        owner = np.repeat(np.arange(len(bare)), sizes)
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(letters))
+        totals = np.zeros(len(bare))
+        for (a, b, c), weight in zip(STEPS, WEIGHTS, strict=True):
+            n = len(letters) - c
+            if n <= 0:
+                continue
+            keys = letters[:n] << np.uint64(48) | letters[a : n + a] << np.uint64(32)
+            keys |= letters[b : n + b] << np.uint64(16) | letters[c : n + c]
+            at = np.flatnonzero(self.may[self._slot(keys)] & (left[:n] > c))
+            place = np.searchsorted(self.keys, keys[at])
+            hit = self.keys[place] == keys[at]
+            totals += weight * np.bincount(owner[at[hit]], self.weights[place[hit]], len(bare))
+        self.update(zip(new, (self.bias + totals / NORMS[sizes]).tolist(), strict=True))
+
+    def of_texts(self, texts: list[str | None]) -> list[float]:
+        """The largest margin among each text's words."""
+        out: list[float] = []
+        for some in batches(texts, 100):
+            bags = [words_of(text or "") for text in some]
+            self.learn(set().union(*bags))
+            out += [max(map(self.__getitem__, bag), default=NO_WORDS) for bag in bags]
+        return out
+
+
 def _scorer(model: ToxicityModel):
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        margins = WordCache(model.margin)
+        margins = Margins(model)
         for frame in frames:
-            values = []
-            for text in frame.column(1).to_pylist():
-                words = words_of(text)
-                margin = max(map(margins.__getitem__, words)) if words else NO_WORDS
-                values.append(model.probability(margin))
+            values = [model.probability(margin) for margin in margins.of_texts(frame.column(1).to_pylist())]
             scores = pa.array(values, pa.float64())
             flags = pa.array([int(v >= THRESHOLD) for v in values], pa.int32())
             yield pa.RecordBatch.from_arrays([frame.column(0), scores, flags], ["doc_id", "score", "predicted"])
@@ -300,13 +370,10 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(*labelled_sample(docs, labels))
 
     def keep(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        margins = WordCache(model.margin)
+        margins = Margins(model)
         for frame in frames:
-            kept = []
-            for text in frame.column("text").to_pylist():
-                words = words_of(text or "")
-                margin = max(map(margins.__getitem__, words)) if words else NO_WORDS
-                kept.append(model.probability(margin) < THRESHOLD)
+            found = margins.of_texts(frame.column("text").to_pylist())
+            kept = [model.probability(margin) < THRESHOLD for margin in found]
             yield frame.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
