@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontaminate, exact_dedup, languages, licenses, pieces, repeats, suffix_tree, toxicity
+from linkloom.llm import decontaminate, exact_dedup, jaccard, languages, licenses, pieces, repeats, suffix_tree, toxicity
 from linkloom.llm.words import table
 
 
@@ -19,6 +19,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.tokenised(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), jaccard.Measure(width=4, percent=85))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.language_id(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_language_id": op3_language_id,
     "op4_repeats": op4_repeats,
     "op5_exact_dedup": op5_exact_dedup,
