@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontaminate, exact_dedup, jaccard, languages, licenses, pieces, repeats, suffix_tree, toxicity
+from linkloom.llm import decontaminate, exact_dedup, html_text, jaccard, languages, licenses, pieces, repeats, suffix_tree, toxicity
 from linkloom.llm.words import table
 
 
@@ -43,6 +43,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_lm_score": op6_lm_score,
     "op7_decontamination": op7_decontamination,
+    "op8_html_text": op8_html_text,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
 }
