@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.words import hash_cache, hashes, text_bytes
+from linkloom.llm.words import fresh, hash_cache, hashes, text_bytes
 
 # Whatever five-token window has at most one substitution agrees under one of these masks,
 # and of any passage that agrees in four fifths of its tokens some such window does.
@@ -156,6 +156,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the texts that hold a benchmark item, all columns kept; rows without an id are looked at, too."""
-    numbered = docs.withColumn("__row", F.col("doc_id").cast("long"))
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__row")).distinct()
-    return numbered.join(bad, numbered["__row"].eqNullSafe(bad["__row"]), "left_anti").select(docs.columns)
+    key = fresh(docs, "held")
+    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad[key]), "left_anti")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm import golomb
-from linkloom.llm.words import staged
+from linkloom.llm.words import fresh, staged
 
 # Bits of a fingerprint; chance agreements only add suspects, which are then compared byte by byte.
 FINGERPRINT_BITS = 44
@@ -173,13 +173,15 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` without the copies, all columns kept; a repeated row stays once."""
     columns = docs.columns
+    digest = fresh(docs, "digest")
+    keep = fresh(docs, "keep")
     classes = staged(duplicate_classes(docs, id_column, text_column), "copies")
     text = F.coalesce(F.col(text_column), F.lit(""))
-    marked = docs.withColumn("__digest", F.sha2(text, 256)).join(
-        classes.select(F.col("text_sha256").alias("__digest"), F.col("keep_id").alias("__keep")), "__digest", "left"
+    marked = docs.withColumn(digest, F.sha2(text, 256)).join(
+        classes.select(F.col("text_sha256").alias(digest), F.col("keep_id").alias(keep)), digest, "left"
     )
-    alone = marked.where(F.col("__keep").isNull() | F.col(id_column).isNull())
-    stays = marked.where(F.col("__keep") == F.col(id_column)).dropDuplicates(["__digest"])
+    alone = marked.where(F.col(keep).isNull() | F.col(id_column).isNull())
+    stays = marked.where(F.col(keep) == F.col(id_column)).dropDuplicates([digest])
     return alone.select(columns).unionByName(stays.select(columns))
 
 

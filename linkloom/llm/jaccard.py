@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import golomb
 from linkloom.llm.components import components
-from linkloom.llm.words import hash_cache, hashes, staged, text_bytes
+from linkloom.llm.words import fresh, hash_cache, hashes, staged, text_bytes
 
 # Members from which a list counts as long.
 LONG = 64
@@ -148,7 +148,7 @@ def _send(measure: Measure, owners: int):
                 high = int(np.add.reduce((shingles ^ (shingles >> np.uint64(32))) * MULTIPLIERS[1])) if n else 0
                 identity = (n, low - 2**63, high - 2**63)
                 rows.append((None, None, None, None, None, None, doc, *identity, sketch(shingles) if n else None))
-                if not n or identity in seen:
+                if not n or doc is None or identity in seen:
                     continue
                 seen.add(identity)
                 held.append((doc, shingles[: measure.listed(n)]))
@@ -340,14 +340,20 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
     )
     members = entries.join(answers, ["part", "owner"]).select("owner", "coded", "runs", "docs", "places", "lengths")
     members = staged(members.mapInArrow(_members(owners), "token long, doc_id long, place int, long boolean"), "members")
-    # Which documents are searched through short lists alone; only representatives are searched at all.
-    n_long = members.groupBy("doc_id").agg(F.sum(F.col("long").cast("int")).alias("n_long"))
+    # Of copies any one may have been listed; it stands for its representative.
+    standing = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "low", "high").dropDuplicates(["doc_id"])
+    standing = standing.join(classes, ["n", "low", "high"]).select("doc_id", "rep", "n")
+    members = staged(
+        members.join(standing, "doc_id").select("token", F.col("rep").alias("doc_id"), "n", "long"), "representative-members"
+    )
+    # Which documents are searched through short lists alone.
     percent, n = measure.percent, F.col("n")
     differing = lambda size: size - F.ceil(size * percent / 100)
     slack = lambda size: F.floor(differing(size) / 2) + 2
     skips = F.least(slack(F.ceil(n * percent / 100)), slack(n))
-    searched = n_long.join(rep_sets.select("doc_id", "n"), "doc_id").select("doc_id", "n", (F.col("n_long") > skips).alias("deep"))
-    lists = staged(members.join(searched, "doc_id").where("NOT long OR deep").select("token", "doc_id", "n"), "searched")
+    deep = members.groupBy("doc_id", "n").agg(F.sum(F.col("long").cast("int")).alias("n_long")).where(F.col("n_long") > skips)
+    lists = members.join(deep.select("doc_id", F.lit(True).alias("deep")), "doc_id", "left").where("NOT long OR deep")
+    lists = staged(lists.select("token", "doc_id", "n"), "searched")
 
     ratio = lambda a, b: F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
     first = lists.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("members"))
@@ -404,5 +410,6 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
 def drop_near_copies(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id; all columns kept."""
     groups = similar_documents(docs, measure)
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    key = fresh(docs, "gone")
+    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[key], "left_anti")

@@ -66,6 +66,14 @@ def batches(column: list, size: int) -> Iterator[list]:
         yield column[start : start + size]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later joins see plain shuffles of stored rows."""
     return stage_table(df, name)
