@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # A piece outside the vocabulary costs this much more than the worst one, as in the public library.
 UNKNOWN_PENALTY = 10.0
+# Pairs of pieces whose weight a worker remembers, and rows it encodes or decodes at once; both bound its memory.
+KNOWN_PAIRS = 600_000
+ROWS = 128
 INFINITE = float("inf")
 
 
@@ -91,9 +95,12 @@ class PieceTransducer:
         newline = r"\n|" if "\n" not in alphabet else ""
         other = rf"[^{SPACE}\n]" if newline else f"[^{SPACE}]"
         self.cut = None if crossing else re.compile(rf"{newline}{SPACE}*{other}+|{SPACE}+", re.S)
-        self.follow: dict[tuple[str, str], bool] = {}
+        self.follow: dict[int, bool] = {}
         self.words: WordCache[bytes] = WordCache(self._encode_word)
-        self.texts = self._decoded_pieces()
+        texts = self._decoded_pieces()
+        self.letters = np.frombuffer(b"".join(texts), np.uint8)
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     # normaliser
 
@@ -124,56 +131,68 @@ class PieceTransducer:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def follows(self, left: str, right: str) -> bool:
-        """Whether ``right`` after ``left`` has a finite weight."""
-        if self.model_type == UNIGRAM:
-            return True
-        known = self.follow.get((left, right))
+    def follows(self, left: int, right: int) -> bool:
+        """Whether the piece ``right`` after ``left`` has a finite weight in a merge model."""
+        key = left << 32 | right
+        known = self.follow.get(key)
         if known is None:
-            if len(self.follow) > 1_000_000:
+            if len(self.follow) >= KNOWN_PAIRS:
                 self.follow.clear()
-            known = self.follow[left, right] = self._merged(left + right) == [left, right]
+            pair = [self.pieces[left], self.pieces[right]]
+            known = self.follow[key] = self._merged("".join(pair)) == pair
         return known
 
     # shortest path of the composition with one word
 
     def shortest_path(self, word: str) -> list[str]:
         """Pieces of the cheapest path; a character outside the vocabulary is a piece of its own."""
-        ids, scores, size = self.ids, self.scores, len(word)
-        unigram = self.model_type == UNIGRAM
-        best: list[dict[str, tuple[float, str | None]]] = [{} for _ in range(size + 1)]
-        best[0][""] = (0.0, None)
+        return self._cheapest(word) if self.model_type == UNIGRAM else self._finite(word)
+
+    def _cheapest(self, word: str) -> list[str]:
+        """Forward costs and back pointers, for weights on the pieces alone."""
+        size = len(word)
+        cost, back = [0.0] + [INFINITE] * size, [0] * (size + 1)
         for at in range(size):
-            if not best[at]:
-                continue
-            if unigram:
-                last, (cost, _) = min(best[at].items(), key=lambda kv: (kv[1][0], kv[0]))
-                reached = [(last, cost)]
-            else:
-                reached = [(last, cost) for last, (cost, _) in best[at].items()]
             for end in range(at + 1, min(size, at + self.longest) + 1):
-                piece = word[at:end]
-                found = ids.get(piece)
+                found = self.ids.get(word[at:end])
                 if found is None and end > at + 1:
                     continue
-                arc = 0.0 if not unigram else -scores[found] if found is not None else -self.worst
-                for last, cost in reached:
-                    if last and not self.follows(last, piece):
-                        continue
-                    known = best[end].get(piece)
-                    if known is None or cost + arc < known[0]:
-                        best[end][piece] = (cost + arc, last)
-        if not best[size]:
-            return self._merged(word)
-        piece = min(best[size], key=lambda p: (best[size][p][0], p))
+                total = cost[at] - (self.worst if found is None else self.scores[found])
+                if total < cost[end]:
+                    cost[end], back[end] = total, at
         path, at = [], size
         while at:
-            path.append(piece)
-            last = best[at][piece][1]
-            at -= len(piece)
-            piece = last
+            path.append(word[back[at] : at])
+            at = back[at]
         return path[::-1]
 
+    def _finite(self, word: str) -> list[str]:
+        """The path of finite weight, found depth first with the longest piece first; dead ends are remembered."""
+        ids, size, dead = self.ids, len(word), set()
+        path: list[tuple[int, int | None]] = []  # where each piece ends, and its id
+        at, last, end = 0, None, min(size, self.longest)
+        while at < size:
+            while end > at:
+                found = ids.get(word[at:end])
+                if found is None:
+                    if end == at + 1:
+                        break
+                elif (end, found) not in dead and (last is None or self.follows(last, found)):
+                    break
+                end -= 1
+            if end > at:
+                path.append((end, found))
+                at, last = end, found
+                end = min(size, at + self.longest)
+                continue
+            if not path:
+                return self._merged(word)
+            dead.add(path.pop())
+            end = at - 1
+            at, last = path[-1] if path else (0, None)
+        starts = [0, *(end for end, _ in path[:-1])]
+        return [word[low:high] for low, (high, _) in zip(starts, path, strict=True)]
+
     def _encode_word(self, word: str) -> bytes:
         out: list[int] = []
         for piece in self.shortest_path(word):
@@ -203,10 +222,27 @@ class PieceTransducer:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        data = b"".join(map(self.texts.__getitem__, ids))
-        if self.dummy_prefix and data.startswith(b" "):
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+        return self.decode_all(np.asarray(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Texts of the ids between neighbouring ``offsets``."""
+        sizes = self.sizes[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.letters[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
+        bounds = ends[offsets].tolist()
+        space = 1 if self.dummy_prefix else 0
+        out = []
+        for low, high in zip(bounds, bounds[1:]):
+            if space and data[low : low + 1] == b" " and low < high:
+                low += 1
+            out.append(data[low:high].decode("utf-8", "replace"))
+        return out
+
+
+def slices(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for frame in frames:
+        for low in range(0, frame.num_rows, ROWS):
+            yield frame.slice(low, ROWS)
 
 
 @lru_cache(maxsize=2)
@@ -235,7 +271,7 @@ def encode(docs: DataFrame, model_file: str, text_column: str = "text", ids_colu
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = _compiled(name)
-        for frame in frames:
+        for frame in slices(frames):
             coded = [None if t is None else transducer.encode(t) for t in frame.column(text_column).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*frame.columns, _lists(coded)], names=[*frame.schema.names, ids_column]
@@ -262,10 +298,14 @@ def decode(docs: DataFrame, model_file: str, ids_column: str = "piece_ids", text
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = _compiled(name)
-        for frame in frames:
-            texts = [None if ids is None else transducer.decode(ids) for ids in frame.column(ids_column).to_pylist()]
+        for frame in slices(frames):
+            lists = frame.column(ids_column)
+            sizes = [0 if n is None else n for n in pc.list_value_length(lists).to_pylist()]
+            values = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = transducer.decode_all(values, np.cumsum([0, *sizes]))
+            decoded = pa.array(texts, pa.string(), mask=np.asarray(lists.is_null()))
             yield pa.RecordBatch.from_arrays(
-                [*frame.columns, pa.array(texts, pa.string())], names=[*frame.schema.names, text_column]
+                [*frame.columns, decoded], names=[*frame.schema.names, text_column]
             )
 
     return kept.mapInArrow(run, schema)
