@@ -83,7 +83,12 @@ def _authority_fault(authority: Column) -> Column:
         host.startswith("["), F.regexp_extract(host, r"(?s)^\[[^\]]*\]:(.+)\z", 1)
     ).otherwise(F.regexp_extract(host, r"(?s)^[^:]*:(.+)\z", 1))
     port_fault = (port != "") & ~F.coalesce(
-        F.when(port.rlike(r"^[+]?[0-9]+\z"), F.try_to_number(F.ltrim(port, F.lit("+")), F.lit("9" * 38)) < 2**31)
+        F.when(
+            port.rlike(r"^[+]?[0-9]+\z"),
+            F.coalesce(
+                F.regexp_extract(port, r"^[+]?0*+([0-9]{0,10})\z", 1).try_cast("bigint") < 2**31, port.rlike(r"^[+]?0+\z")
+            ),
+        )
         .when(port.rlike(r"^-0*[01]\z"), F.lit(True)),
         F.lit(False),
     )
@@ -281,17 +286,27 @@ def _any_of(words: Sequence[str]) -> str:
     return "|".join(re.escape(word) for word in words) or r"(?!)"
 
 
+def _units(text: Column) -> Column:
+    """Length in UTF-16 units: a character above U+FFFF counts twice."""
+    return F.length(text) + F.length(F.regexp_replace(text, r"[^\x{10000}-\x{10FFFF}]", ""))
+
+
 def url_priority(url: Column) -> Column:
     """Smaller comes first: https before http, short before long, shallow before deep."""
     path = path_of(url)
     slashes = F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
     return (
         F.when(url.rlike("(?i)^https:"), 0).otherwise(10)
-        + F.least(F.floor(F.length(url) / 100), F.lit(5))
+        + F.least(F.floor(_units(url) / 100), F.lit(5))
         + slashes
     ).cast("int")
 
 
 def display_label(url: Column) -> Column:
-    """``url`` shortened to 27 characters and an ellipsis where it exceeds 30."""
-    return F.when(F.length(url) > 30, F.concat(F.substring(url, 1, 27), F.lit("..."))).otherwise(url)
+    """``url`` shortened to 27 UTF-16 units and an ellipsis where it exceeds 30; a character is not cut in two."""
+    rough = F.substring(url, 1, 27)
+    above = _units(rough) - F.length(rough)
+    # Every character above U+FFFF among the first 27 takes the place of one more.
+    fits = F.filter(F.sequence(F.lit(13), F.lit(27)), lambda n: _units(F.substring(url, F.lit(1), n)) <= 27)
+    start = F.when(above == 0, rough).otherwise(F.substring(url, F.lit(1), F.array_max(fits)))
+    return F.when(_units(url) > 30, F.concat(start, F.lit("..."))).otherwise(url)

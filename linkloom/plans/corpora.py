@@ -99,6 +99,9 @@ EXTRA_ANCHORS = (
     ("#", '<a href="//cdn.example.org/lib.zip">lib</a>'),
     ("/en/", '<a href="HTTP://hackernews.example.com/New">news</a>'),
     ("blog", '<a href="next.html">next</a>'),
+    ("/fr/", '<style-guide>g</style-guide><div title="<script ">q</div><p title="<a href=\'/no\'>">'),
+    ("/fr/", "<a title=it's data-href=/no href=\"/p&#0000000038;x&#x0000002F;&eacute;\">padded</a><a/href='/slash'>s</a>"),
+    ("/de/", '<div title="<!-- ">c</div><script-x>n</script-x><a href="/&copy;">named</a>'),
 )
 
 

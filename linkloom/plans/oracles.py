@@ -5,6 +5,7 @@ from __future__ import annotations
 from linkloom.plans.catalog import BEST_FIRST, CRAWL_DEPTH, DEQUEUED, ROUNDS, SPAM_HOSTS, TOP_K, WAVES
 from linkloom.plans.corpora import EXTRA_ANCHORS, KEYS_PER_PAGE, SHOP
 
+# What a URL may not hold.
 HOSTS = ("malicious", "porn", "hack", "onion")
 EXTENSIONS = ("jpg", "png", "gif", "exe", "zip", "pdf")
 
@@ -37,6 +38,7 @@ def path(url: str) -> str:
 
 
 def can_parse(url: str) -> str:
+    # The pattern is a fixed value.
     return (
         f"(NOT regexp_full_match({path(url)}, '([/-_\\w~]*/)?([-_\\w]*)?(\\.(\\w*))?')"
         f" OR NOT contains({path(url)}, '.') OR regexp_matches({path(url)}, '\\.html?$'))"
@@ -84,9 +86,27 @@ FROM (
   UNION ALL SELECT 'order', o_orderkey, 'customer', o_custkey FROM orders
 ) AS neighbours
 GROUP BY kind, key, to_key // {KEYS_PER_PAGE}"""
-SKIPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# Whole tokens of a page: comments, scripts and styles with what they hold, start tags with their attributes.
+ATTRIBUTES = r"""(?:[\s/]+|[^\s/>="']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?)*"""
+TOKEN = (
+    rf"(?is)<!--.*?-->|<script(?:[\s/]{ATTRIBUTES})?>.*?</script\s*>|<style(?:[\s/]{ATTRIBUTES})?>.*?</style\s*>"
+    rf"|<[a-z][^\s/>]*{ATTRIBUTES}>"
+)
 ANCHOR = (
-    r"""(?is)<a(?:\s(?:[^>"']|"[^"]*"|'[^']*')*?)?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    r"""(?is)^<a[\s/](?:[\s/]+|[^\s/>="']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?[\s/])*?"""
+    r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+)
+# References that the corpora hold.
+REFERENCES = (
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#39;", "'"),
+    ("&#0000000038;", "&"),
+    ("&#x0000002F;", "/"),
+    ("&eacute;", "é"),
+    ("&copy;", "©"),
+    ("&amp;", "&"),
 )
 
 
@@ -96,12 +116,14 @@ def found(source: str, failing: str | None = None) -> str:
     ``failing`` is the condition under which a link fails its page.
     """
     bare = """CASE WHEN raw[1] IN ('"', '''') THEN raw[2:length(raw) - 1] ELSE raw END"""
-    for reference, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for reference, character in REFERENCES:
         bare = f"replace({bare}, {text(reference)}, {text(character)})"
     failing = "false" if failing is None else failing
     return f"""
 given AS ({source}),
-raws AS (SELECT page_id, url, regexp_extract_all(regexp_replace(html, {text(SKIPPED)}, '', 'g'), {text(ANCHOR)}, 1) AS raws
+raws AS (SELECT page_id, url, list_filter(list_transform(
+           list_filter(regexp_extract_all(html, {text(TOKEN)}), lambda t: regexp_matches(t, '(?i)^<a[\\s/]')),
+           lambda t: regexp_extract(t, {text(ANCHOR)}, 1)), lambda r: r <> '') AS raws
          FROM given),
 hrefs AS (SELECT page_id, url AS src, CAST(pos - 1 AS INTEGER) AS pos, {bare} AS href
           FROM (SELECT page_id, url, unnest(raws) AS raw, generate_subscripts(raws, 1) AS pos FROM raws) AS u),

@@ -34,6 +34,16 @@ HREFS = [
     ('<a href="/once" href="/twice">', ["/twice"]),
     ('<a class="k"href="/close">', ["/close"]),
     ('<!-- open <a href="/no">', []),
+    ('<style-guide>a</style-guide><a href="/1">', ["/1"]),
+    ('<script-x>a</script-x><a href="/2">', ["/2"]),
+    ('<div title="<script "><a href="/4">', ["/4"]),
+    ('<div title="<!-- "><a href="/5">', ["/5"]),
+    ("<p title=\"<a href='/6'>\">", []),
+    ("<a title=it's href=\"/7\">", ["/7"]),
+    ('<a/href="/x">', ["/x"]),
+    ('<a href="/&#0000000065;&#x00000041;">', ["/AA"]),
+    ('<a href="/&eacute;&copy;&nosuch;&Eacute;">', ["/é©&nosuch;É"]),
+    ('<SCRIPT src="a>b"><a href="/no"></SCRIPT><A HREF = "/9" >', ["/9"]),
     ("", []),
 ]
 
