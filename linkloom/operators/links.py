@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.html import page_hrefs
-from linkloom.functions.urls import PROTOCOL, base_of, bind, can_parse, resolve_against
+from linkloom.functions.urls import OTHER, PROTOCOL, base_of, bind, can_parse, resolve_against
 from linkloom.operators.policy import Forgiveness, first_failure, surviving
 
 
@@ -33,8 +33,12 @@ def _one_row_each(pages: DataFrame, links: str) -> DataFrame:
 def _outcomes() -> Column:
     """``hrefs`` of a page at ``url``, each resolved or classed as failed.
 
-    Built once per process: the expression is long, and its names are fixed.
+    A page whose content could not be read has one outcome, a failure of class
+    ``other`` without an href.  Built once per process: the expression is long,
+    and its names are fixed.
     """
+    nothing = F.lit(None).cast("string")
+    unread = F.array(F.struct(nothing.alias("href"), nothing.alias("dst"), F.lit(OTHER).alias("error_class")))
 
     def resolved(page: Column) -> Column:
         return F.transform(
@@ -45,7 +49,8 @@ def _outcomes() -> Column:
             ),
         )
 
-    return bind(base_of(F.col("url")), resolved).alias("outcomes")
+    read = bind(base_of(F.col("url")), resolved)
+    return F.when(F.col("hrefs").isNull(), unread).otherwise(read).alias("outcomes")
 
 
 def page_outcomes(pages: DataFrame) -> DataFrame:

@@ -171,7 +171,8 @@ def links_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def seed_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many seeds each policy reads from all hrefs of the mixed pages."""
-    hrefs = links.link_outcomes(corpora.mixed_pages(spark, sf_dir)).select(F.col("href").alias("url"))
+    found = links.link_outcomes(corpora.mixed_pages(spark, sf_dir)).where("href IS NOT NULL")
+    hrefs = found.select(F.col("href").alias("url"))
     texts = stage_table(hrefs.distinct(), "texts")
     counted = [
         sources.seeds(texts, "url", name, (urls.MALFORMED,)).agg(F.count("*").alias("seeds")).select(

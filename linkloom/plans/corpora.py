@@ -103,15 +103,17 @@ EXTRA_ANCHORS = (
     ("/fr/", "<a title=it's data-href=/no href=\"/p&#0000000038;x&#x0000002F;&eacute;\">padded</a><a/href='/slash'>s</a>"),
     ("/de/", '<div title="<!-- ">c</div><script-x>n</script-x><a href="/&copy;">named</a>'),
 )
+UNREAD = "7"
 
 
 def mixed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given pages with links of every outcome added, chosen by what their URLs contain.
 
-    Every page also links to itself.
+    Every page also links to itself.  Pages whose URL ends with ``UNREAD`` have no content.
     """
     extra = [
         F.when(F.col("url").contains(marker), F.lit(anchor)).otherwise(F.lit("")) for marker, anchor in EXTRA_ANCHORS
     ]
     itself = F.concat(F.lit('<a href="'), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit('">self</a>'))
-    return pages(spark, sf_dir).select("page_id", "url", F.concat("html", *extra, itself).alias("html"))
+    content = F.when(~F.col("url").endswith(UNREAD), F.concat("html", *extra, itself))
+    return pages(spark, sf_dir).select("page_id", "url", content.alias("html"))

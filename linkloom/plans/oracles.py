@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from linkloom.plans.catalog import BEST_FIRST, CRAWL_DEPTH, DEQUEUED, ROUNDS, SPAM_HOSTS, TOP_K, WAVES
-from linkloom.plans.corpora import EXTRA_ANCHORS, KEYS_PER_PAGE, SHOP
+from linkloom.plans.corpora import EXTRA_ANCHORS, KEYS_PER_PAGE, SHOP, UNREAD
 
 # What a URL may not hold.
 HOSTS = ("malicious", "porn", "hack", "onion")
@@ -66,12 +66,12 @@ def priority(url: str) -> str:
 
 PLAIN = "SELECT page_id, url, html FROM pages"
 MIXED = (
-    "SELECT page_id, url, html"
+    f"SELECT page_id, url, CASE WHEN NOT suffix(url, {text(UNREAD)}) THEN html"
     + "".join(
         f" || CASE WHEN contains(url, {text(marker)}) THEN {text(anchor)} ELSE '' END"
         for marker, anchor in EXTRA_ANCHORS
     )
-    + """ || '<a href="' || replace(url, '&', '&amp;') || '">self</a>' AS html FROM pages"""
+    + """ || '<a href="' || replace(url, '&', '&amp;') || '">self</a>' END AS html FROM pages"""
 )
 SHOP_PAGES = f"""
 SELECT 0 AS page_id, '{SHOP}/' || kind || '/' || key AS url,
@@ -129,7 +129,8 @@ hrefs AS (SELECT page_id, url AS src, CAST(pos - 1 AS INTEGER) AS pos, {bare} AS
           FROM (SELECT page_id, url, unnest(raws) AS raw, generate_subscripts(raws, 1) AS pos FROM raws) AS u),
 judged AS (SELECT *, CASE WHEN regexp_matches(href, '^(?i)(mailto|ftp):') THEN 'protocol'
                           WHEN regexp_matches(href, '^(?i)javascript:') THEN 'malformed' END AS error_class
-           FROM hrefs),
+           FROM hrefs
+           UNION ALL SELECT page_id, url, 0, NULL, 'other' FROM given WHERE html IS NULL),
 found AS (SELECT *, CASE
             WHEN error_class IS NOT NULL THEN NULL
             WHEN regexp_matches(href, '^(?i)https?://') THEN {scheme("href")} || substr(href, strpos(href, ':'))
