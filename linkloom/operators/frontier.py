@@ -15,9 +15,11 @@ from linkloom.operators.links import extract_links
 from linkloom.operators.ordering import head_cut, up_to
 from linkloom.operators.policy import Forgiveness
 from linkloom.operators.queue import ORDER, dequeue_n
-from linkloom.session import iterating, settle, stage_table
+from linkloom.session import drop_stage, iterating, settle, stage_table
 
 MODES = ("level", "best_first")
+# Levels of a crawl after which the visited URLs become one frame.
+FOLDED = 8
 
 
 def seed_frontier(seeds: DataFrame, heuristics: Heuristics = DEFAULT) -> DataFrame:
@@ -86,6 +88,7 @@ def crawl(
     policy: str = "lax",
     forgive: Forgiveness = (PROTOCOL,),
     hot_edges: int = HOT_EDGES,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Every URL a crawl visits: ``(url, depth, priority, wave)``.
 
@@ -96,11 +99,14 @@ def crawl(
     ties of the page bound go to the better (priority, url).
 
     Pages are read once: their distinct admitted links are laid out first, and
-    the waves then move URLs only.
+    the waves then move URLs only.  A stage table of admitted ``links(src, dst)``
+    from parseable pages, repeats included, may be given instead of reading
+    ``pages`` again.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; one of {MODES}")
-    links = stage_table(admitted_links(pages, heuristics, policy, forgive), "links")
+    found = admitted_links(pages, heuristics, policy, forgive) if links is None else links.select("src", "dst").distinct()
+    links = stage_table(found, "links")
     start = stage_table(seed_frontier(seeds, heuristics), "seeds")
     adjacency = lay_out(links, hot_edges, start.count())
     with iterating(pages.sparkSession, adjacency.width):
@@ -109,7 +115,9 @@ def crawl(
             visited = _by_level(adjacency, start, max_depth, max_pages, heuristics)
         else:
             visited = _best_first(adjacency, start, max_depth, wave_size, max_pages, heuristics)
+        visited = settle(visited)
         adjacency.release()
+    drop_stage(links)
     return visited
 
 
@@ -120,8 +128,14 @@ def _by_level(
     max_pages: int | None,
     heuristics: Heuristics,
 ) -> DataFrame:
+    # Levels since the visited ones were last put together; a plan never holds more than FOLDED of them.
     levels: list[DataFrame] = []
-    level, seen = start, 0
+    settled: DataFrame | None = None
+    level, seen, depth = start, 0, 0
+
+    def together() -> DataFrame:
+        return reduce(DataFrame.unionByName, levels if settled is None else [settled, *levels])
+
     while True:
         found = level.count()
         if max_pages is not None and seen + found > max_pages:
@@ -129,16 +143,15 @@ def _by_level(
             break
         levels.append(level)
         seen += found
-        depth = len(levels)
+        depth += 1
         if found == 0 or (max_depth is not None and depth > max_depth):
             break
+        if len(levels) >= FOLDED:
+            settled, levels = settle(together().repartition(adjacency.width, "url")), []
         reached = adjacency.follow(level.select(F.col("url").alias("src")))
-        visited = reduce(DataFrame.unionByName, [done.select("url") for done in levels])
-        fresh = unvisited(reached.select(F.col("dst").alias("url")).distinct(), visited)
+        fresh = unvisited(reached.select(F.col("dst").alias("url")).distinct(), together().select("url"))
         level = settle(scored(fresh.withColumn("depth", F.lit(depth)), heuristics))
-    return reduce(DataFrame.unionByName, levels).select(
-        "url", "depth", "priority", F.col("depth").alias("wave")
-    )
+    return together().select("url", "depth", "priority", F.col("depth").alias("wave"))
 
 
 def _best_first(

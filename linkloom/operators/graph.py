@@ -85,7 +85,7 @@ def number_urls(
 
 def link_urls(links: DataFrame) -> DataFrame:
     """Distinct URLs at either end of ``links(src, dst)``."""
-    return links.select(F.col("src").alias("url")).unionByName(links.select(F.col("dst").alias("url"))).distinct()
+    return links.select(F.explode(F.array("src", "dst")).alias("url")).distinct()
 
 
 def global_graph(
@@ -126,7 +126,7 @@ def edges_by_url(links: DataFrame, vertices: DataFrame) -> DataFrame:
 
 def property_graph(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One vertex per id, edge end-points included (without URL); of several URLs the smallest stays."""
-    ends = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id"))
     every = vertices.select("id", "url").unionByName(ends.withColumn("url", F.lit(None).cast("string")))
     return stage_table(every.groupBy("id").agg(F.min("url").alias("url")), "vertices"), edges
 

@@ -13,7 +13,7 @@ from linkloom.operators import frontier, graph, links, policy, queue
 from linkloom.operators.ordering import with_position
 from linkloom.operators.pagerank import label_ranks, pagerank
 from linkloom.plans import corpora
-from linkloom.session import settle, stage_path, stage_table
+from linkloom.session import delete_at_exit, settle, stage_path, stage_table
 from linkloom.sinks import graph_tables
 from linkloom.sources import pages as sources
 from linkloom.streaming import accumulate
@@ -27,6 +27,7 @@ WAVES = (3, 10)
 CRAWL_DEPTH = 3
 BEST_FIRST = {"wave_size": 400, "max_pages": 1500, "max_depth": 3}
 ROUNDS = 10
+ARRIVALS = 3
 SPAM_HOSTS = ("spam", "casino", "pills")
 
 
@@ -261,11 +262,18 @@ def in_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.in_degree(admitted_targets(spark, sf_dir))
 
 
+def _crawled_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admitted links, repeats included, of the parseable pages that a crawl of the shop visits."""
+    pages = corpora.shop_pages(spark, sf_dir)
+    found = heuristics.DEFAULT.admit(links.extract_links(pages, parseable_only=True).select("src", "dst"), "dst")
+    found = stage_table(found, "shop-links")
+    crawled = frontier.crawl(pages, corpora.shop_seeds(spark, sf_dir), max_depth=1, links=found)
+    return graph.crawled_links(found, crawled)
+
+
 @query
 def in_degree_crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = corpora.shop_pages(spark, sf_dir)
-    crawled = frontier.crawl(pages, corpora.shop_seeds(spark, sf_dir), max_depth=1)
-    return graph.in_degree(graph.crawled_links(links.extract_links(pages), crawled))
+    return graph.in_degree(_crawled_links(spark, sf_dir))
 
 
 @query
@@ -366,6 +374,31 @@ def crawl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.summary(heuristics.DEFAULT.admit(found, "dst"), vertices, edges)
 
 
+# What a crawl reports, ranks and stores of the pages it visited.
+
+
+@query
+def crawl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stage_table(_crawled_links(spark, sf_dir), "crawled-links")
+    return graph.summary(found, *graph.global_graph(found))
+
+
+@query
+def crawl_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stage_table(_crawled_links(spark, sf_dir), "crawled-links")
+    vertices, edges = graph.global_graph(found)
+    return rounded(label_ranks(pagerank(edges, vertices, iterations=ROUNDS), vertices), "url")
+
+
+@query
+def crawl_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stage_table(_crawled_links(spark, sf_dir), "crawled-links")
+    path = stage_path(spark, "graph")
+    graph_tables.write_graph(*graph.global_graph(found), path)
+    delete_at_exit(spark, path)
+    return _by_url(graph_tables.read_nodes(spark, path), graph_tables.read_relations(spark, path))
+
+
 # Frontier and crawl.
 
 
@@ -465,6 +498,7 @@ def _stored_graph(spark: SparkSession, sf_dir: str) -> str:
     _, vertices, edges = _page_graph(spark, sf_dir)
     path = stage_path(spark, "graph")
     graph_tables.write_graph(vertices, edges, path)
+    delete_at_exit(spark, path)
     return path
 
 
@@ -488,7 +522,18 @@ def stored_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accumulate.page_stream(spark, sf_dir, "pages.parquet")
+    """The given pages, spread over files that arrive one by one."""
+    folder = stage_path(spark, "arriving")
+    corpora.pages(spark, sf_dir).repartition(ARRIVALS, "page_id").write.parquet(folder)
+    delete_at_exit(spark, folder)
+    return accumulate.page_stream(spark, folder, files_per_batch=1)
+
+
+@query
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many micro-batches brought links."""
+    arriving = accumulate.stream_links(_page_stream(spark, sf_dir))
+    return accumulate.accumulate_links(arriving).agg(F.countDistinct("batch_id").alias("batches"))
 
 
 @query

@@ -11,9 +11,11 @@ from linkloom.operators.ordering import with_position
 from linkloom.sources.pages import read_pages
 
 SHOP = "https://shop.example.com"
-# A page row of the shop holds the anchors of one key range, so a hub with
-# billions of neighbours becomes many page rows of the same URL.
-KEYS_PER_PAGE = 1_000_000
+# A page row of the shop is a URL and a range of so many keys, at every scale: a
+# hub is many page rows of one URL.
+KEYS_PER_PAGE = 10_000
+# Links of every shop page that a crawl turns away.
+SHOP_EXTRA = '<a href="/logo.png">l</a><a href="https://hackers.example.org/">h</a><a href="mailto:a@example.com">m</a>'
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +63,7 @@ def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.xxhash64("kind", "key", "part").alias("page_id"),
             shop_url("kind", "key").alias("url"),
             F.concat(
-                F.lit("<html><body>"), F.array_join(F.transform("to", anchor), ""), F.lit("</body></html>")
+                F.lit("<html><body>"), F.array_join(F.transform("to", anchor), ""), F.lit(SHOP_EXTRA + "</body></html>")
             ).alias("html"),
         )
     )

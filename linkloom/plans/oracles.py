@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from linkloom.plans.catalog import BEST_FIRST, CRAWL_DEPTH, DEQUEUED, ROUNDS, SPAM_HOSTS, TOP_K, WAVES
-from linkloom.plans.corpora import EXTRA_ANCHORS, KEYS_PER_PAGE, SHOP, UNREAD
+from linkloom.plans.catalog import ARRIVALS, BEST_FIRST, CRAWL_DEPTH, DEQUEUED, ROUNDS, SPAM_HOSTS, TOP_K, WAVES
+from linkloom.plans.corpora import EXTRA_ANCHORS, KEYS_PER_PAGE, SHOP, SHOP_EXTRA, UNREAD
 
 # What a URL may not hold.
 HOSTS = ("malicious", "porn", "hack", "onion")
@@ -76,7 +76,7 @@ MIXED = (
 SHOP_PAGES = f"""
 SELECT 0 AS page_id, '{SHOP}/' || kind || '/' || key AS url,
        '<html><body>' || string_agg('<a href="/' || to_kind || '/' || to_key || '">x</a>', '' ORDER BY to_kind, to_key)
-       || '</body></html>' AS html
+       || {text(SHOP_EXTRA + "</body></html>")} AS html
 FROM (
   SELECT 'region' AS kind, n_regionkey AS key, 'nation' AS to_kind, n_nationkey AS to_key FROM nation
   UNION ALL SELECT 'nation', n_nationkey, 'region', n_regionkey FROM nation
@@ -272,6 +272,10 @@ DEBT = """WITH nodes AS (
   SELECT c_custkey AS id, c_name AS url FROM customer WHERE c_acctbal < 0
   UNION ALL SELECT -1 - o_orderkey, 'order-' || o_orderkey FROM orders WHERE o_orderstatus = 'O'),
 debt AS (SELECT o_custkey AS src, -1 - o_orderkey AS dst, 'link' AS type FROM orders)"""
+CRAWLED = (
+    f", visited AS MATERIALIZED (SELECT src, dst FROM kept WHERE {can_parse('src')} AND {reason('dst')} IS NULL"
+    " AND src IN (SELECT url FROM crawled))"
+)
 LOOPED = """, last AS (SELECT page_id, dst, CAST(max(pos) AS BIGINT) AS id FROM kept GROUP BY page_id, dst),
 page_edges AS (SELECT k.page_id, s.id AS src, t.id AS dst, 'link' AS type FROM kept AS k
   JOIN last AS s ON s.page_id = k.page_id AND s.dst = k.src
@@ -380,7 +384,14 @@ def oracle_queries() -> dict[str, str]:
         "queue_size": over(PLAIN, "SELECT count(*) AS queue_size FROM frontier", more=FRONTIER),
         "in_degree": over(PLAIN, IN_DEGREE, more=ADMITTED),
         "in_degree_crawled": levels(1)
-        + " SELECT dst AS url, count(*) AS in_degree FROM kept WHERE src IN (SELECT url FROM crawled) GROUP BY dst",
+        + f"{CRAWLED} SELECT dst AS url, count(*) AS in_degree FROM visited GROUP BY dst",
+        "crawl_report": levels(1)
+        + f"{CRAWLED} SELECT arg_min(url, (-n, url)) AS top_url, max(n) AS top_in_degree, count(*) AS crawl_size,"
+        " (SELECT count(*) FROM (SELECT src FROM visited UNION SELECT dst FROM visited)) AS vertices,"
+        " (SELECT count(*) FROM visited) AS edges FROM (SELECT dst AS url, count(*) AS n FROM visited GROUP BY dst)",
+        "crawl_ranks": rounds(f"SELECT src, dst FROM ({levels(1)}{CRAWLED} SELECT src, dst FROM visited)", "url"),
+        "crawl_stored": levels(1) + f"{CRAWLED} SELECT src AS src_url, dst AS dst_url, 'link' AS type FROM visited",
+        "stream_batches": f"SELECT {ARRIVALS}::BIGINT AS batches",
         "crawl_size": over(PLAIN, "SELECT count(DISTINCT dst) AS crawl_size FROM admitted", more=ADMITTED),
         "page_vertices": over(MIXED, "SELECT page_id, CAST(pos AS BIGINT) AS id, dst AS url FROM kept"),
         "page_edges": over(MIXED, "SELECT page_id, src, dst, type FROM page_edges", more=LOOPED),

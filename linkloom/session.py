@@ -43,6 +43,21 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/linkloom/{name}-{uuid.uuid4().hex}"
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder that was written when the session's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
+def drop_stage(table: DataFrame) -> None:
+    """Remove the files of a stage table that no later job reads."""
+    spark = table.sparkSession
+    for path in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        if f"{checkpoint_root(spark)}/linkloom/".removeprefix("file:") in path:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
@@ -51,9 +66,8 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -18,9 +18,11 @@ from linkloom.functions.heuristics import DEFAULT, Heuristics
 from linkloom.functions.urls import PROTOCOL
 from linkloom.operators.links import extract_links, kept_links
 from linkloom.operators.policy import Forgiveness
-from linkloom.session import stage_path
+from linkloom.session import delete_at_exit, stage_path
 from linkloom.sources.pages import PAGE_SCHEMA
 
+# Files one micro-batch takes, so that a backlog is worked off in batches of bounded size.
+FILES_PER_BATCH = 1_000
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -36,13 +38,11 @@ def _spilling_state(spark: SparkSession) -> Iterator[None]:
 
 
 def page_stream(
-    spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_batch: int | None = None
+    spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Page files of ``folder`` as a stream."""
+    """Page files of ``folder`` as a stream, at most ``files_per_batch`` in a micro-batch."""
     reader = spark.readStream.schema(PAGE_SCHEMA).option("pathGlobFilter", pattern)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
 def _run(stream: DataFrame, mode: str, name: str, path: str | None) -> str:
@@ -62,6 +62,8 @@ def _run(stream: DataFrame, mode: str, name: str, path: str | None) -> str:
             .start()
         )
         query.awaitTermination()
+    if path is None:
+        delete_at_exit(spark, target)
     return f"{target}/rows"
 
 
