@@ -172,3 +172,23 @@ def test_waves(spark, web, pages, seeds):
 def test_unknown_mode(pages, seeds):
     with pytest.raises(ValueError):
         frontier.crawl(pages, seeds[1], mode="random")
+
+
+def test_a_deep_chain_is_followed_to_its_end(spark):
+    chain = [(k, f"http://h/{k}", f'<a href="/{k + 1}">') for k in range(20)]
+    pages = spark.createDataFrame(chain, "page_id long, url string, html string")
+    seeds = spark.createDataFrame([("http://h/0",)], "url string")
+    found = {r["url"]: r["depth"] for r in frontier.crawl(pages, seeds, max_depth=None).collect()}
+    assert found == {f"http://h/{k}": k for k in range(21)}
+
+
+def test_a_crawl_leaves_only_its_result(spark):
+    from pathlib import Path
+
+    from linkloom.session import checkpoint_root
+
+    folder = Path(checkpoint_root(spark).removeprefix("file:")) / "linkloom"
+    before = {p.name for p in folder.glob("links-*")}
+    pages = spark.createDataFrame([(1, "http://h/", '<a href="/a">')], "page_id long, url string, html string")
+    assert frontier.crawl(pages, spark.createDataFrame([("http://h/",)], "url string")).count() == 2
+    assert {p.name for p in folder.glob("links-*")} == before

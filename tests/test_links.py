@@ -164,3 +164,11 @@ def test_parse_gate(spark, rows):
         [(1, "http://h/a.pdf"), (1, "http://h/b.html"), (2, "http://h/c.pdf")], "batch int, url string"
     )
     assert rows(sources.parse_gate(frame, "batch"), "url") == [("http://h/a.pdf",), ("http://h/b.html",)]
+
+
+def test_a_page_without_content_has_failed(spark, rows):
+    pages = spark.createDataFrame([(1, "http://h/", None), (2, "http://h/b", '<a href="/x">')], "page_id int, url string, html string")
+    assert rows(links.link_outcomes(pages), "page_id", "href", "error_class") == [(1, None, "other"), (2, "/x", None)]
+    assert rows(links.page_verdicts(pages, "forgive"), "page_id", "error_class") == [(1, "other"), (2, None)]
+    assert rows(links.links_per_page(pages), "page_id", "links") == [(1, 0), (2, 1)]
+    assert rows(policy.failure_counts(links.link_outcomes(pages))) == [("other", 1)]

@@ -97,24 +97,25 @@ def test_parts(spark):
 
 
 PRIORITIES = {
-    "https://example.com/path/to/hi/imlong//resource": 6,
-    "http://example.com/path/resource": 12,
+    "https://shelf.test/a/b/c/d//leaf": 6,
+    "http://shelf.test/a/leaf": 12,
+    "http://h/" + "\U0001f600" * 60: 12,
     "https://h/" + "a" * 240: 3,
     "https://h/" + "a" * 690: 6,
 }
 IGNORED = {
-    "https://example.com": None,
-    "http://example.com": None,
-    "http://malicious.com": "blocked_host",
-    "http://example.com/image.jpg": "blocked_extension",
-    "http://example.com/a.JPG": "blocked_extension",
-    "http://example.com/a.jpg.": "blocked_extension",
-    "http://example.com/a.jpg?x=.txt": "blocked_extension",
-    "http://hackernews.com": "blocked_host",
-    "http://HACK.com": None,
-    "ftp://example.com": "unsupported_protocol",
+    "https://shelf.test": None,
+    "http://shelf.test/": None,
+    "http://notmalicious.test/x": "blocked_host",
+    "http://shelf.test/cover.jpg": "blocked_extension",
+    "http://shelf.test/deep/er/cover.PnG": "blocked_extension",
+    "http://shelf.test/cover.gif..": "blocked_extension",
+    "http://shelf.test/cover.zip?as=.txt": "blocked_extension",
+    "http://shack.test": "blocked_host",
+    "http://SHACK.test": None,
+    "ftp://shelf.test": "unsupported_protocol",
     "javascript:f()": "unsupported_protocol",
-    "http://www1.example.edu/~someone/indexSafe.html": None,
+    "http://w3.shelf.test/~lib/plainPage.html": None,
 }
 ACCEPTED = ["", "/", "/a.html", "/a.htm", "/a.tar.gz", "/the,", "/v1.2/x.pdf", "/é.pdf"]
 REJECTED = ["/a.pdf", "/a.", "/x/y.HTM", "/a:b/c.php"]
@@ -124,7 +125,6 @@ def test_priority(spark):
     frame = spark.createDataFrame([(url,) for url in PRIORITIES], "url string")
     got = {r.url: r.p for r in frame.select("url", urls.url_priority(F.col("url")).alias("p")).collect()}
     assert got == PRIORITIES
-    assert got["https://example.com/path/to/hi/imlong//resource"] < got["http://example.com/path/resource"]
 
 
 def test_ignore_reason(spark):
@@ -142,9 +142,16 @@ def test_can_parse(spark, query):
 
 
 def test_label(spark):
-    frame = spark.createDataFrame([("x" * 30,), ("x" * 31,)], "url string")
+    face = "\U0001f600"
+    frame = spark.createDataFrame([("x" * 30,), ("x" * 31,), (face * 15,), (face * 16,), ("x" + face * 15,)], "url string")
     got = [r.l for r in frame.select(urls.display_label(F.col("url")).alias("l")).collect()]
-    assert got == ["x" * 30, "x" * 27 + "..."]
+    assert got == ["x" * 30, "x" * 27 + "...", face * 15, face * 13 + "...", "x" + face * 13 + "..."]
+
+
+def test_padded_ports(spark):
+    ports = {"0" * 60 + "80": True, "+0080": True, "0" * 50: True, "2147483647": True, "2147483648": False, "9" * 50: False}
+    got = resolve_all(spark, [(BASE, f"http://h:{port}/x") for port in ports])
+    assert {port: got[BASE, f"http://h:{port}/x"][1] is None for port in ports} == ports
 
 
 def test_seed_texts(spark):
