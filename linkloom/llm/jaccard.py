@@ -219,33 +219,72 @@ def _bounded(measure: Measure):
     return run
 
 
+# Members up to which a list is compared pair by pair in plain integers; larger ones as arrays.
+FEW = 48
+
+
 def _unconnected(measure: Measure):
-    """Within blocks of a list: pairs of different components that their sketches leave possible."""
+    """Within blocks of a list: pairs of different components that their sketches leave possible.
+
+    The first member of a list was compared with all others before.
+    """
+
+    def few(rows: list[tuple[int, int, int, bytes]], tried: set[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        first = min(rows)[0]
+        rows = sorted(row for row in rows if row[0] != first)
+        whole = [int.from_bytes(row[3], "big") for row in rows]
+        for j, (b, comp, size, bits) in enumerate(rows):
+            for i in range(j):
+                a, other_comp, other, other_bits = rows[i]
+                if comp == other_comp or a == b or measure.percent * max(size, other) > 100 * min(size, other):
+                    continue
+                if (a, b) in tried:
+                    continue
+                tried.add((a, b))
+                x, y, width, narrow = whole[i], whole[j], 8 * len(other_bits), 8 * len(bits)
+                if width < narrow:
+                    x, y, width, narrow = y, x, narrow, width
+                while width > narrow:
+                    width //= 2
+                    x = (x >> width) ^ (x & ((1 << width) - 1))
+                if (size + other - (x ^ y).bit_count()) // 2 >= measure.required(size, other):
+                    yield a, b
+
+    def many(part: pd.DataFrame, one: int, other: int) -> Iterator[tuple[int, int]]:
+        docs, comps, sizes, side = (part[c].to_numpy() for c in ("doc_id", "component", "n", "block"))
+        left, right = np.flatnonzero(side == one), np.flatnonzero(side == other)
+        widths = np.array([len(x) for x in part["sketch"]])
+        grids = {w: np.stack([np.frombuffer(x, np.uint8) for x in part["sketch"][widths == w]]) for w in np.unique(widths)}
+        within = np.zeros(len(part), np.int64)
+        for w in grids:
+            within[widths == w] = np.arange((widths == w).sum())
+        for i in left.tolist():
+            enough = (comps[right] != comps[i]) & ((docs[right] > docs[i]) if one == other else (docs[right] != docs[i]))
+            ratio = measure.percent * np.maximum(sizes[right], sizes[i]) <= 100 * np.minimum(sizes[right], sizes[i])
+            near = right[enough & ratio]
+            own = grids[widths[i]][within[i]]
+            for w in np.unique(widths[near]):
+                some = near[widths[near] == w]
+                bound = most_common(grids[w][within[some]], own[None, :], sizes[some], sizes[i])
+                for j in some[bound >= measure.required(sizes[some], sizes[i])].tolist():
+                    yield min(docs[i], docs[j]), max(docs[i], docs[j])
 
     def run(members: pd.DataFrame) -> pd.DataFrame:
         found: set[tuple[int, int]] = set()
-        for _, rows in members.groupby(["token", "one", "other"], sort=False).indices.items():
-            part = members.iloc[rows]
-            part = part[part["n"] > 0]
-            docs, comps, sizes, side = (part[c].to_numpy() for c in ("doc_id", "component", "n", "block"))
-            same = bool(part["one"].iloc[0] == part["other"].iloc[0])
-            left = np.flatnonzero(side == part["one"].iloc[0])
-            right = left if same else np.flatnonzero(side == part["other"].iloc[0])
-            widths = np.array([len(s) for s in part["sketch"]])
-            grids = {w: np.stack([np.frombuffer(s, np.uint8) for s in part["sketch"][widths == w]]) for w in np.unique(widths)}
-            within = np.zeros(len(part), np.int64)
-            for w in grids:
-                within[widths == w] = np.arange((widths == w).sum())
-            for i in left.tolist():
-                enough = (comps[right] != comps[i]) & (docs[right] != docs[i])
-                ratio = measure.percent * np.maximum(sizes[right], sizes[i]) <= 100 * np.minimum(sizes[right], sizes[i])
-                near = right[enough & ratio & ((docs[right] > docs[i]) if same else True)]
-                own = grids[widths[i]][within[i]]
-                for w in np.unique(widths[near]):
-                    some = near[widths[near] == w]
-                    bound = most_common(grids[w][within[some]], own[None, :], sizes[some], sizes[i])
-                    for j in some[bound >= measure.required(sizes[some], sizes[i])].tolist():
-                        found.add((min(docs[i], docs[j]), max(docs[i], docs[j])))
+        tried: set[tuple[int, int]] = set()
+        members = members.sort_values(["token", "one", "other"], kind="stable")
+        keys = members[["token", "one", "other"]].to_numpy()
+        edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+        bounds = [0, *edges.tolist(), len(members)]
+        columns = [members[c].tolist() for c in ("doc_id", "component", "n", "sketch")]
+        blocks = members["blocks"].tolist()
+        for low, high in zip(bounds, bounds[1:]):
+            if high - low <= FEW and blocks[low] == 1:
+                found.update(few(list(zip(*(c[low:high] for c in columns), strict=True)), tried))
+                if len(tried) > 1_000_000:
+                    tried.clear()
+            elif high > low:
+                found.update(many(members.iloc[low:high], int(keys[low, 1]), int(keys[low, 2])))
         return pd.DataFrame(sorted(found), columns=["a", "b"], dtype=np.int64)
 
     return run
@@ -385,7 +424,7 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
     spread = blocked.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
     ).select(
-        "token", "doc_id", "component", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")
+        "token", "doc_id", "component", "blocks", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")
     )
     rest = (
         spread.join(sketches, "doc_id")
