@@ -37,6 +37,8 @@ SMOOTHING = 4.0
 FREQUENT_WORDS = 100_000
 # Words a task counts before it passes them on.
 COUNTED_WORDS = 400_000
+# Texts a task scores at once.
+SCORED_TEXTS = 250
 # Distinct words whose contexts a task counts at once.
 GRAM_WORDS = 100_000
 ALPHABET = 257
@@ -109,6 +111,10 @@ def context_counts(words: DataFrame) -> DataFrame:
     )
 
 
+def _slices(frame: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (frame.slice(low, SCORED_TEXTS) for low in range(0, frame.num_rows, SCORED_TEXTS))
+
+
 State = tuple[bytes, dict[int, int]]
 
 
@@ -237,7 +243,7 @@ def suffix_tree_scores(docs: DataFrame, folds: int = 7) -> DataFrame:
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, bases, scores = shared.value
         other = len(bases) - 1
-        for frame in frames:
+        for frame in (part for whole in frames for part in _slices(whole)):
             out: list[tuple] = []
             for row, doc, text in zip(*(c.to_pylist() for c in frame.columns), strict=True):
                 found = text.lower().split()
