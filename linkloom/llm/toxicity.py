@@ -49,11 +49,18 @@ FILTER = 1 << 20
 
 
 def words_of(text: str) -> set[str]:
-    """Distinct lower-cased words; letters spelled out one by one also count as the word they make."""
+    """Distinct lower-cased words; letters spelled out one by one also count as the word they make.
+
+    Strings of more than ``LONGEST`` characters count as overlapping pieces.
+    """
     lower = text.lower()
     words = set(lower.split())
     for run in SPELLED_OUT.findall(lower):
         words.add("".join(run.split()))
+    endless = [word for word in words if len(word) > LONGEST]
+    words.difference_update(endless)
+    for word in endless:
+        words.update(word[at : at + LONGEST] for at in range(0, len(word), LONGEST // 2))
     return words
 
 

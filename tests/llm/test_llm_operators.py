@@ -335,7 +335,9 @@ def test_toxicity(spark, docs, nothing):
 
 
 def test_spelled_out_letters_make_a_word():
-    assert "idiot" in toxicity.words_of("you I d i o t there") or "idiot" in toxicity.words_of("you i d i o t there")
+    assert "widget" in toxicity.words_of("there W i d g e t there")
+    pieces_of = toxicity.words_of("x" * 500 + "widget" + "y" * 500)
+    assert any("widget" in p for p in pieces_of) and max(map(len, pieces_of)) <= toxicity.LONGEST
 
 
 def test_license_scan(spark, docs, nothing):
