@@ -96,6 +96,16 @@ def _leads(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return changed, np.maximum.accumulate(np.where(changed, np.arange(len(changed)), 0))
 
 
+def _joined(doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of windows with those that follow each other in one document made one."""
+    order = np.lexsort((start, doc))
+    doc, start, windows = doc[order], start[order], windows[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + windows[:-1])
+    at = np.flatnonzero(new)
+    return doc[at], start[at], np.add.reduceat(windows, at)
+
+
 def _send(buckets: int):
     """Phrases of all texts: the first of equals in the task goes to its trigger's owner, the others are settled here."""
 
@@ -115,7 +125,8 @@ def _send(buckets: int):
             columns = (within, phrase[own], doc[own], start[own], shape[own])
             out.append((int(trigger[own[0]] % np.uint64(buckets)), *(c.tobytes() for c in columns)))
         if len(rest):
-            out.append((-1, None, None, *(c[rest].tobytes() for c in (doc, start, shape))))
+            runs = _joined(doc[rest], start[rest], (shape[rest] & 255).astype(np.int64))
+            out.append((-1, None, None, *(c.tobytes() for c in runs)))
         kinds = (pa.int32(), *[pa.binary()] * 5)
         names = ["bucket", "trigger", "phrase", "doc", "start", "shape"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
@@ -170,7 +181,7 @@ def _settled(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unpack what the sending tasks have settled by themselves."""
     for frame in frames:
         for doc, start, shape in zip(*(c.to_pylist() for c in frame.columns), strict=True):
-            windows = (np.frombuffer(shape, np.uint16) & 255).astype(np.int32)
+            windows = np.frombuffer(shape, np.int64).astype(np.int32)
             columns = (np.frombuffer(doc, np.int64), np.frombuffer(start, np.int64), windows)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "start", "windows"])
 
