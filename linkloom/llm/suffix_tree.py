@@ -30,11 +30,11 @@ DEPTH = 5
 # Divergence times count, in nats, below which a context adds nothing to its suffix.
 LEAST_GAIN = 60.0
 # States of the tree at most, those with the largest gains; with a next symbol each it bounds what is broadcast.
-MOST_STATES = 30_000
+MOST_STATES = 15_000
 # Pseudo-counts that pull a state's distribution towards its suffix.
 SMOOTHING = 4.0
 # Most frequent words whose counts every task holds; all others meet their counts in a join.
-FREQUENT_WORDS = 100_000
+FREQUENT_WORDS = 60_000
 # Words a task counts before it passes them on.
 COUNTED_WORDS = 400_000
 # Texts a task scores at once.
