@@ -209,6 +209,41 @@ def test_suffix_tree_probabilities_add_up():
     assert tree.word_log10(b"ab") > tree.word_log10(b"ba") > tree.word_log10(b"zz")
 
 
+def brute_scores(texts, held):
+    """Log10 scores of ``texts`` by all contexts of the training texts, through the plain tree."""
+    depth = suffix_tree.DEPTH
+    running = [b"\n" * depth + b" ".join((t or "").encode().lower().split()) + b"\n" for _, t in texts]
+    next_of: dict[bytes, Counter] = {}
+    for (i, _), data in zip(texts, running, strict=True):
+        for at in range(depth, len(data) if not held(i) else 0):
+            for low in range(at - depth, at + 1):
+                next_of.setdefault(data[low:at], Counter())[data[at]] += 1
+    states = [(b"", dict(next_of[b""]))]
+    for context, counts in next_of.items():
+        if context:
+            shorter, total = next_of[context[1:]], sum(counts.values())
+            under = sum(shorter.values())
+            if sum(n * math.log(n / total / (shorter[s] / under)) for s, n in counts.items()) >= suffix_tree.LEAST_GAIN:
+                states.append((context, dict(counts)))
+    tree = suffix_tree.SuffixTree(states)
+    score = lambda d: sum(math.log10(tree.probability(d[at - depth : at], d[at])) for at in range(depth, len(d)))
+    return [score(data) for data in running], len(states)
+
+
+@pytest.mark.parametrize("gain", (60.0, 0.5))
+def test_every_context_that_diverges_counts(docs, texts, monkeypatch, gain):
+    monkeypatch.setattr(suffix_tree, "LEAST_GAIN", gain)
+    monkeypatch.setattr(suffix_tree, "SLICE_LETTERS", 500)
+    monkeypatch.setattr(suffix_tree, "MOST_STATES", 3, raising=False)
+    expected, states = brute_scores(texts, lambda i: i is None or zlib.crc32(str(i).encode()) % 7 == 2)
+    found = [(r["doc_id"], r["score"]) for r in suffix_tree.suffix_tree_scores(docs).collect()]
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    wanted = sorted(((i, s) for (i, _), s in zip(texts, expected, strict=True)), key=order)
+    assert states > 10 and len(found) == len(wanted)
+    for (i, score), (j, right) in zip(sorted(found, key=order), wanted, strict=True):
+        assert i == j and score == pytest.approx(right)
+
+
 def test_decontamination(spark, docs, nothing):
     rng = random.Random(9)
     item = [f"w{k}" for k in range(40)]
