@@ -244,6 +244,18 @@ def test_every_context_that_diverges_counts(docs, texts, monkeypatch, gain):
         assert i == j and score == pytest.approx(right)
 
 
+def test_order_and_unseen_words_change_the_score(spark):
+    train = [(i, "the cat sat on the mat and the dog lay by the door " * 20) for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2]
+    asked = ["the cat sat on the mat", "mat the on sat cat the", "the cat sat on the catdog", "the cat sat on the xqzvjk"]
+    frame = spark.createDataFrame([*train, *((None, t) for t in asked)], "doc_id long, text string")
+    rows = suffix_tree.suffix_tree_scores(frame).where("doc_id IS NULL").collect()
+    bases, scores = sorted(r["base_score"] for r in rows), sorted(r["score"] for r in rows)
+    right, _ = brute_scores([*train, *((None, t) for t in asked)], lambda i: i is None)
+    assert scores == pytest.approx(sorted(right[-4:])) and bases[0] == pytest.approx(bases[1]) and bases[2] == pytest.approx(bases[3])
+    same_words, shuffled, like_seen, unlike = right[-4:]
+    assert same_words > shuffled + 1 and like_seen > unlike + 1
+
+
 def test_decontamination(spark, docs, nothing):
     rng = random.Random(9)
     item = [f"w{k}" for k in range(40)]
