@@ -83,15 +83,25 @@ SPELLINGS = {
     "sublicence": "sublicense",
     "wilful": "willful",
 }
-# Lines that only state a copyright or reserve rights.
+# Lines that state a holder: a copyright with the sign or a year, one that begins a paragraph, or the reserved rights.
+# A wrapped line of licence text ("copyright notice, ...", "(c) You must ...") is none of these.
+HOLDER = (
+    r"^[^\n0-9a-z]*(?:portions )?copyright[ \t:]*(?:\(c\)|©|(?:19|20)[0-9]{2}\b)[^\n]*$",
+    r"^[^\n0-9a-z]*(?:portions )?(?:\(c\)|©)[^\n]*\b(?:19|20)[0-9]{2}\b[^\n]*$",
+    r"^[^\n0-9a-z]*©[^\n]*$",
+    r"^[^\n0-9a-z]*all rights reserved[^\n0-9a-z]*$",
+    r"(?:\A|\n[^\n0-9a-z]*\n)[^\n0-9a-z]*copyright[ \t]+"
+    r"(?!(?:notice|holder|owner|licen[cs]e|law|statement|interest|and|or)s?\b)[^\n]*$",
+)
+# The SQL twin's pattern, which takes wrapped licence text that begins with "copyright" for such a line.
 COPYRIGHT_LINE = r"^[^\n0-9A-Za-z]*(?:portions )?(?:copyright[ \t]|\(c\)|©|all rights reserved)[^\n]*$"
 NO_WORD = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 
 
 def canonical(text: Column) -> Column:
-    """Lower-cased words of a text, one space between them, without copyright lines; null gives the empty text."""
+    """Lower-cased words of a text, one space between them, without lines that state a holder; null gives the empty text."""
     lower = F.lower(F.coalesce(text, F.lit("")))
-    words = F.regexp_replace(F.regexp_replace(lower, "(?md)" + COPYRIGHT_LINE, " "), NO_WORD, " ")
+    words = F.regexp_replace(F.regexp_replace(lower, "(?md)" + "|".join(HOLDER), " "), NO_WORD, " ")
     padded = F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
     for spelling, usual in SPELLINGS.items():
         spelling = spelling.replace("-", "  ")

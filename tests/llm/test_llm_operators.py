@@ -6,12 +6,15 @@ import hashlib
 import itertools
 import math
 import random
+import re
+import textwrap
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.llm import (
     decontaminate,
@@ -410,6 +413,19 @@ def test_license_scan(spark, docs, nothing):
     assert licenses.license_scan(nothing).count() == 0
 
 
+@pytest.mark.parametrize("name", licenses.LICENCES)
+def test_wrapped_licences_keep_their_text(spark, name):
+    body = licenses.LICENCES[name]
+    heads = ("", "Copyright (c) 2001 Some Body\nAll rights reserved.\n\n", "Copyright Some Body and others.\n\n", "\n(C) 1999, 2003 A. B.\n")
+    rows = [(k, head + textwrap.fill(body, width, break_long_words=False)) for k, (head, width) in enumerate(itertools.product(heads, (20, 48, 60, 72, 79, 100)))]
+    starts = [f"{word} {rest}" for word, _, rest in (body[m.start() :].partition(" ") for m in re.finditer("(?i)copyright", body))]
+    rows += [(100 + k, body[: -len(s)] + "\n" + s) for k, s in enumerate(starts)]
+    found = {r["doc_id"]: r["license"] for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {k: name for k, _ in rows}
+    kept = spark.createDataFrame([(body,)], "text string").select(licenses.canonical(F.col("text"))).first()[0]
+    assert kept.count("copyright") == body.lower().count("copyright")
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/x">menu</a></li></ul></nav><!-- <p>no</p> --><div class="ad">Buy this now.</div>
 <article><h1>{title}</h1><p><b>{first}<br><p>{second} &amp; &eacute;&#x41;.</p></article><footer>&copy; site</footer></body></html>"""
