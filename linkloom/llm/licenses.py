@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +63,17 @@ License.""",
     "SPDX MIT": "SPDX-License-Identifier: MIT",
     "SPDX Apache-2.0": "SPDX-License-Identifier: Apache-2.0",
 }
+# Title lines that files put above the short texts.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng license"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "BSD License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD"),
+}
+# How the last clause of BSD-3-Clause names the holder.
+NEITHER = ("the copyright holder nor the names of its", "the copyright holders nor the names of its", "the author nor the names of its")
 # Spellings that count as the same word, after lower-casing.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",
@@ -122,6 +137,35 @@ def licence_digests(spark: SparkSession, licences: dict[str, str] | None = None)
     return known.groupBy(digest(F.col("body")).alias("digest")).agg(F.min("license").alias("license"))
 
 
+def licence_texts() -> Iterator[tuple[str, str]]:
+    """``name, body`` of all shipped licences: with and without title, with and without what follows their terms."""
+    whole = list(LICENCES.items())
+    for file in (resources.files(__package__) / "licence_texts").iterdir():
+        name, body = file.name.removesuffix(".txt"), file.read_text("utf-8")
+        whole.append((name, body))
+        if name == "BSD-3-Clause":
+            body = re.sub(r"\A.*?(?=Redistribution)", "", body, flags=re.S).replace("REGENTS AND", "COPYRIGHT HOLDERS AND")
+            body = body.replace("THE REGENTS OR", "THE COPYRIGHT HOLDER OR")
+            whole += [(name, re.sub(r"the University nor the names of its", holder, body)) for holder in NEITHER]
+        elif name not in TITLES:
+            # The title is the first paragraph.
+            whole.append((name, re.sub(r"\A\s*\S.*?\n[ \t]*\n", "", body, count=1, flags=re.S)))
+    for name, body in whole:
+        yield name, body
+        yield from ((name, f"{title}\n\n{body}") for title in TITLES.get(name, ()))
+        if ends := re.search(r"END OF TERMS AND CONDITIONS", body):
+            yield name, body[: ends.start()]
+            yield name, body[: ends.end()]
+    for name in sorted({name for name, _ in whole if " " not in name} - {"MIT", "Apache-2.0"}):
+        yield f"SPDX {name}", f"SPDX-License-Identifier: {name}"
+
+
+def shipped_digests(spark: SparkSession) -> DataFrame:
+    """``digest, license`` of :func:`licence_texts`."""
+    known = spark.createDataFrame(list(licence_texts()), "license string, body string")
+    return known.groupBy(digest(F.col("body")).alias("digest")).agg(F.min("license").alias("license"))
+
+
 def license_scan(
     docs: DataFrame, licences: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:

@@ -52,7 +52,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_scan(table(spark, sf_dir, "documents"))
+    return licenses.license_scan(table(spark, sf_dir, "documents"), licenses.shipped_digests(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -426,6 +426,17 @@ def test_wrapped_licences_keep_their_text(spark, name):
     assert kept.count("copyright") == body.lower().count("copyright")
 
 
+def test_shipped_licences_and_titles(spark):
+    texts = list(licenses.licence_texts())
+    assert {"GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0", "Apache-2.0", "BSD-3-Clause"} <= {name for name, _ in texts}
+    known = licenses.shipped_digests(spark).cache()
+    rows = [(k, "Copyright (c) 2001 Some Body\n\n" + body) for k, (_, body) in enumerate(texts)]
+    rows.append((-1, "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + textwrap.fill(licenses.LICENCES["MIT"], 70)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.license_scan(frame, known).collect()}
+    assert found == {-1: "MIT"} | {k: name for k, (name, _) in enumerate(texts)}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/x">menu</a></li></ul></nav><!-- <p>no</p> --><div class="ad">Buy this now.</div>
 <article><h1>{title}</h1><p><b>{first}<br><p>{second} &amp; &eacute;&#x41;.</p></article><footer>&copy; site</footer></body></html>"""
