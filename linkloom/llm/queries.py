@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontaminate, exact_dedup, html_text, jaccard, languages, licenses, pieces, repeats, suffix_tree, toxicity
+from linkloom.llm import decontaminate, exact_dedup, hard_negatives, html_text, jaccard, languages, licenses, pieces, repeats, suffix_tree, toxicity
 from linkloom.llm.words import table
 
 
@@ -55,6 +55,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"), licenses.shipped_digests(spark))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors (ids divisible by 100) of all ``embeddings`` with five positives and ten hard negatives each."""
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -66,9 +71,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op10_license_scan": licenses.oracle(),
+    "op11_hard_negatives": hard_negatives.oracle(),
 }
