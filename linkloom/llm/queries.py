@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontaminate, exact_dedup, hard_negatives, html_text, jaccard, languages, licenses, pieces, repeats, suffix_tree, toxicity
+from linkloom.llm import decontaminate, exact_dedup, hard_negatives, html_text, jaccard, languages, lexical_search, licenses, pieces, repeats, suffix_tree, toxicity
 from linkloom.llm.words import table
 
 
@@ -60,6 +60,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all ``documents`` for every ``benchmark`` item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -72,10 +77,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op10_license_scan": licenses.oracle(),
     "op11_hard_negatives": hard_negatives.oracle(),
+    "op12_lexical_search": lexical_search.oracle(),
 }
