@@ -5,12 +5,16 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontaminate, exact_dedup, hard_negatives, html_text, jaccard, languages, lexical_search, licenses, pieces, repeats, suffix_tree, toxicity
+from linkloom.llm import byte_bpe, decontaminate, exact_dedup, hard_negatives, html_text, jaccard, languages, lexical_search, licenses, pieces, repeats, suffix_tree, toxicity
 from linkloom.llm.words import table
 
 
+# The public byte-level BPE ranks, split by their own pattern; another place can be set in the environment.
+BPE_RANKS = os.environ.get("LINKLOOM_BPE_RANKS") or public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 # The public model that texts are encoded with; another place can be set in the environment.
 PIECE_MODEL = os.environ.get("LINKLOOM_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -65,6 +69,11 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every whole ``documents`` text by the public byte-level ranks, decoded again; digests of both."""
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -78,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_lexical_search": op12_lexical_search,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
