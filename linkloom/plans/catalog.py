@@ -15,6 +15,7 @@ from linkloom.operators.pagerank import label_ranks, pagerank
 from linkloom.plans import corpora
 from linkloom.session import delete_at_exit, settle, stage_path, stage_table
 from linkloom.sinks import graph_tables
+from linkloom.sources import page_store
 from linkloom.sources import pages as sources
 from linkloom.streaming import accumulate
 
@@ -416,8 +417,9 @@ def unvisited_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every URL the mixed pages name, with the html of its pages from a store laid out by URL."""
     wanted = stage_table(every_url(spark, sf_dir), "wanted")
-    found = sources.fetch(wanted, corpora.pages(spark, sf_dir))
+    found = page_store.fetch_stored(wanted, page_store.store_pages(corpora.pages(spark, sf_dir)))
     return found.select("url", F.md5("html").alias("html_md5"), "error_class")
 
 
