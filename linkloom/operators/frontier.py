@@ -15,7 +15,7 @@ from linkloom.operators.links import extract_links
 from linkloom.operators.ordering import head_cut, up_to
 from linkloom.operators.policy import Forgiveness
 from linkloom.operators.queue import ORDER, dequeue_n
-from linkloom.session import drop_stage, iterating, settle, stage_table
+from linkloom.session import delete_at_exit, drop_stage, iterating, settle, stage_path, stage_table
 
 MODES = ("level", "best_first")
 # Levels of a crawl after which the visited URLs become one frame.
@@ -154,6 +154,81 @@ def _by_level(
     return together().select("url", "depth", "priority", F.col("depth").alias("wave"))
 
 
+class PriorityQueue:
+    """Pending URLs in a folder partitioned by their small integer priority; visited ones in waves beside it.
+
+    Discoveries are appended, never merged in place; the driver keeps, per
+    priority, how many entries were appended (one number per priority value).
+    A wave reads only the lowest priorities that can fill it: partition
+    pruning skips the others, and visited URLs are looked up in the same
+    priorities only, since a URL's priority follows from the URL.  Visited
+    waves are appended too and folded into one table every ``FOLDED`` waves,
+    so the bytes one wave writes follow the wave, not what was visited before.
+    """
+
+    def __init__(self, start: DataFrame) -> None:
+        self.spark = start.sparkSession
+        root = stage_path(self.spark, "best-first")
+        delete_at_exit(self.spark, root)
+        self.pending, self.visited, self.root = f"{root}/pending", f"{root}/visited", root
+        self.counts: dict[int, int] = {}
+        self.waves = 0
+        self.push(start)
+
+    def push(self, found: DataFrame) -> None:
+        """Append ``(url, priority, depth)`` rows and count them by priority."""
+        found = settle(found.select("url", "priority", "depth"))
+        for row in found.groupBy("priority").count().collect():
+            self.counts[row["priority"]] = self.counts.get(row["priority"], 0) + row["count"]
+        found.write.mode("append").partitionBy("priority").parquet(self.pending)
+
+    def _read(self, path: str, chosen: list[int]) -> DataFrame:
+        nulls = None in chosen
+        values = [p for p in chosen if p is not None]
+        keep = F.col("priority").isin(values) if values else F.lit(False)
+        return self.spark.read.parquet(path).where(keep | F.col("priority").isNull() if nulls else keep)
+
+    def live(self, chosen: list[int]) -> DataFrame:
+        """Pending URLs of the ``chosen`` priorities not visited yet, each once with its smallest depth."""
+        pending = self._read(self.pending, chosen)
+        if self.waves:
+            pending = pending.join(self._read(self.visited, chosen).select("url"), "url", "left_anti")
+        return pending.groupBy("url", "priority").agg(F.min("depth").alias("depth"))
+
+    def best(self, room: int) -> tuple[DataFrame, int]:
+        """The live pending rows that fill a wave of ``room``: lowest priorities first, as few as will do."""
+        order = sorted(self.counts, key=lambda p: (p is not None, p))  # null priorities sort first, as in ORDER
+        chosen: list[int] = []
+        need = room
+        while True:
+            total = 0
+            while order and total < need:  # the appended counts bound what is alive from above
+                chosen.append(order.pop(0))
+                total += self.counts[chosen[-1]]
+            live = settle(self.live(chosen))
+            found = {row["priority"]: row["count"] for row in live.groupBy("priority").count().collect()}
+            for p in chosen:
+                if p not in found:
+                    self.counts.pop(p, None)  # all its entries were visited: never read again
+            alive = sum(found.values())
+            if alive >= room or not order:
+                return live, alive
+            need = room - alive
+
+    def visit(self, picked: DataFrame) -> None:
+        picked.select("url", "priority", "depth", F.lit(self.waves).alias("wave")).write.mode("append").partitionBy("priority").parquet(self.visited)
+        self.waves += 1
+        if self.waves % FOLDED == 0:
+            folded = f"{self.root}/visited-{self.waves}"
+            self.spark.read.parquet(self.visited).repartition("priority").write.partitionBy("priority").parquet(folded)
+            self.visited = folded
+
+    def visited_rows(self) -> DataFrame:
+        if not self.waves:
+            return self.spark.createDataFrame([], "url string, depth int, priority int, wave int")
+        return self.spark.read.parquet(self.visited).select("url", "depth", "priority", "wave")
+
+
 def _best_first(
     adjacency: Adjacency,
     start: DataFrame,
@@ -162,41 +237,22 @@ def _best_first(
     max_pages: int | None,
     heuristics: Heuristics,
 ) -> DataFrame:
-    # One frame holds the queue (wave is null) and the visited set.
-    state = start.withColumn("wave", F.lit(None).cast("int"))
-    wave, visited = 0, 0
-    while True:
+    queue = PriorityQueue(start)
+    visited = 0
+    while queue.counts:
         room = wave_size if max_pages is None else min(wave_size, max_pages - visited)
-        pending = state.filter(F.col("wave").isNull())
-        cut, taken = head_cut(pending, ORDER, room)
+        if room < 1:
+            break
+        live, alive = queue.best(room)
+        cut, taken = head_cut(live, ORDER, room) if alive else (None, 0)
         if cut is None:
             break
-        picked = F.col("wave").isNull() & up_to(cut, ORDER, state)
-        sources = state.filter(picked)
-        if max_depth is not None:
-            sources = sources.filter(F.col("depth") < max_depth)
+        picked = settle(live.filter(up_to(cut, ORDER, live)))
+        queue.visit(picked)
+        sources = picked if max_depth is None else picked.filter(F.col("depth") < max_depth)
         reached = next_urls(
             adjacency.follow(sources.select(F.col("url").alias("src"), (F.col("depth") + 1).alias("depth")))
         )
-        marked = state.withColumn("wave", F.when(picked, F.lit(wave)).otherwise(F.col("wave")))
-        found = reached.select(
-            "url", F.lit(None).cast("int").alias("priority"), "depth", F.lit(None).cast("int").alias("wave")
-        )
-        # Both are partitioned by URL, so they merge where they lie.
-        merged = marked.unionByName(found).groupBy("url").agg(
-            F.max("priority").alias("priority"),
-            F.min("depth").alias("depth"),
-            F.max(F.when(F.col("wave").isNotNull(), F.col("depth"))).alias("visited_at"),
-            F.max("wave").alias("wave"),
-        )
-        state = settle(
-            merged.select(
-                "url",
-                F.coalesce("priority", heuristics.priority(F.col("url")).cast("int")).alias("priority"),
-                F.coalesce("visited_at", "depth").alias("depth"),
-                "wave",
-            )
-        )
+        queue.push(scored(reached, heuristics))
         visited += taken
-        wave += 1
-    return state.filter(F.col("wave").isNotNull()).select("url", "depth", "priority", "wave")
+    return queue.visited_rows()

@@ -192,3 +192,18 @@ def test_a_crawl_leaves_only_its_result(spark):
     pages = spark.createDataFrame([(1, "http://h/", '<a href="/a">')], "page_id long, url string, html string")
     assert frontier.crawl(pages, spark.createDataFrame([("http://h/",)], "url string")).count() == 2
     assert {p.name for p in folder.glob("links-*")} == before
+
+
+def test_priority_queue_reads_only_the_lowest_priorities(spark):
+    from linkloom.operators.frontier import PriorityQueue
+
+    start = spark.createDataFrame([(f"http://q.example/{i}", i % 5, 0) for i in range(50)], "url string, priority int, depth int")
+    queue = PriorityQueue(start)
+    live, alive = queue.best(4)
+    assert alive == 10 and {r["priority"] for r in live.collect()} == {0}
+    plan = queue.live([0])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(priority" in plan and "priority#" in plan
+    queue.visit(live.where("url < 'http://q.example/3'"))  # 0, 10, 15, 20, 25
+    live, alive = queue.best(9)
+    assert alive == 5 + 10 and {r["priority"] for r in live.collect()} == {0, 1}
+    assert queue.visited_rows().count() == 5
