@@ -4,9 +4,12 @@ Edges are hash-partitioned and sorted by source, so a round joins them with a
 frame of per-source values that is partitioned alike: the edges never move
 again, and the only shuffle of a round carries the partially aggregated
 messages.  Sources with more than ``edges / (HOT_SHARE * width)`` edges would
-make one partition too large.  By that very bound there are fewer than
-``HOT_SHARE * width`` of them, so their values are safe to broadcast and their
-edges may lie anywhere, evenly spread.
+make one partition too large.  Their edges are spread by a salt (a hash of
+the target modulo the source's number of salts, one per ``bound`` edges), and
+each round replicates the values of those sources once per salt, so a hot
+source is read by as many tasks as it has salts.  Nothing is broadcast: the
+replicated values number at most ``edges / bound + hot sources``, whatever the
+width.
 """
 
 from __future__ import annotations
@@ -41,9 +44,9 @@ class Adjacency:
         reached = self.cold.join(values, "src")
         if self.hot is None:
             return reached
-        # Fewer than HOT_SHARE * width rows on either broadcast side.
-        few = values.join(F.broadcast(self.hot_sources), "src", "left_semi")
-        return reached.unionByName(self.hot.join(F.broadcast(few), "src"))
+        # The values of hot sources, once per salt; the salted edges stay where they lie.
+        salted = values.join(self.hot_sources, "src").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+        return reached.unionByName(self.hot.join(salted, ["src", "salt"]).drop("salt"))
 
 
 def lay_out(edges: DataFrame, hot_edges: int = HOT_EDGES, companions: int = 0) -> Adjacency:
@@ -61,11 +64,15 @@ def lay_out(edges: DataFrame, hot_edges: int = HOT_EDGES, companions: int = 0) -
     hot = hot_sources = None
     cold = edges
     if total > bound:
-        crowded = settle(degrees.filter(F.col("edges") > bound).select("src"))
+        crowded = settle(
+            degrees.filter(F.col("edges") > bound).select("src", F.ceil(F.col("edges") / F.lit(bound)).cast("int").alias("salts"))
+        )
         if not crowded.isEmpty():
             hot_sources = crowded
-            hot = edges.join(F.broadcast(crowded), "src", "left_semi").persist()
-            cold = edges.join(F.broadcast(crowded), "src", "left_anti")
+            cold = edges.join(crowded.select("src"), "src", "left_anti")
+            hot = edges.join(crowded, "src").withColumn("salt", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int")).drop("salts")
     with iterating(spark, width):
         cold = cold.repartition(width, "src").sortWithinPartitions("src").persist()
+        if hot is not None:
+            hot = hot.repartition(width, "src", "salt").persist()
     return Adjacency(cold, hot, hot_sources, width)

@@ -102,3 +102,25 @@ def test_a_hub_is_split_in_lookups(spark):
             found = look_up(vertices, edges)
             found.collect()
             assert "skew=true" in plan(found)
+
+
+def test_hot_sources_are_salted_not_broadcast(spark):
+    from linkloom.session import iterating
+
+    edges = spark.createDataFrame(
+        [("hub", f"d{i}") for i in range(3000)] + [(f"s{i}", f"d{i}") for i in range(300)] + [("mid", f"d{i}") for i in range(150)],
+        "src string, dst string",
+    )
+    adjacency = lay_out(edges, hot_edges=100)
+    assert adjacency.hot is not None
+    salts = {r["src"]: r["salts"] for r in adjacency.hot_sources.collect()}
+    assert set(salts) == {"hub"} and salts["hub"] > 1  # one salt per bound of edges
+    values = spark.createDataFrame([("hub", 1), ("s1", 2), ("mid", 3), ("none", 4)], "src string, v int")
+    with iterating(spark, adjacency.width):
+        followed = adjacency.follow(values)
+        plan = followed._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, followed.select("src", "dst", "v").collect()))
+    assert "Broadcast" not in plan
+    expected = sorted(map(tuple, edges.join(values, "src").select("src", "dst", "v").collect()))
+    assert got == expected
+    adjacency.release()
