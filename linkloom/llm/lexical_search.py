@@ -1,7 +1,9 @@
 """Ranked lexical search of benchmark items over all documents: hybrid TAAT-DAAT.
 
-Documents become postings ``(row, doc_id, term, tf)`` in one pass; ``N``, ``L``
-and every term's ``df`` are aggregates over all of them.  For each item, the
+Documents become bags of terms in one pass of Arrow batches, without a
+shuffle; ``N`` and ``L`` are aggregates over all of them, and the postings
+``(row, doc_id, term, tf)`` of the terms that some item asks for, with their
+``df``, are drawn from them.  For each item, the
 posting lists of its terms are split by length:
 
 * short lists (``df <= LONG_DF``) are read term-at-a-time: a join of the item's
@@ -30,9 +32,13 @@ return nothing, and rows repeating an item id search for their terms together; o
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,17 +82,47 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
-def postings(documents: DataFrame) -> DataFrame:
-    """Stored ``row, doc_id, term, tf, n, lead``: one row per document and distinct term.
+_WORD = re.compile(TERM)
+_LOWER = str.maketrans(UPPER, LOWER)
+_BAGS = T.StructType(
+    [
+        T.StructField("row", T.LongType()),
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("terms", T.ArrayType(T.StringType())),
+        T.StructField("tfs", T.ArrayType(T.LongType())),
+    ]
+)
 
-    ``n`` is the document's number of terms; ``lead`` marks one posting per
-    document (its smallest term), so that ``N`` is a plain count.
-    """
-    docs = documents.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms")
-    ).select("row", "doc_id", F.size("terms").cast("long").alias("n"), F.array_min("terms").alias("least"), F.explode("terms").alias("term"))
-    counted = docs.groupBy("row", "doc_id", "n", "least", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return stage_table(counted.select("row", "doc_id", "term", "tf", "n", (F.col("term") == F.col("least")).alias("lead")), "postings")
+
+def _bags(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document its number of terms and its distinct terms with their counts."""
+    for frame in frames:
+        n, terms, tfs = [], [], []
+        for text in frame.column("text").to_pylist():
+            found = _WORD.findall(text.translate(_LOWER)) if text else []
+            bag = Counter(found)
+            n.append(len(found))
+            terms.append(list(bag))
+            tfs.append(list(bag.values()))
+        yield pa.RecordBatch.from_arrays(
+            [frame.column("row"), frame.column("doc_id"), pa.array(n, pa.int64()), pa.array(terms, pa.list_(pa.string())), pa.array(tfs, pa.list_(pa.int64()))],
+            schema=pa.schema([(f.name, t) for f, t in zip(_BAGS.fields, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())), strict=True)]),
+        )
+
+
+def bags(documents: DataFrame) -> DataFrame:
+    """Stored ``row, doc_id, n, terms, tfs``: one row per document, read in one pass without a shuffle."""
+    docs = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return stage_table(docs.mapInArrow(_bags, _BAGS), "term-bags")
+
+
+def postings(bagged: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``row, doc_id, term, tf, n`` of the documents' terms that are among ``wanted``'s."""
+    each = bagged.select("row", "doc_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("p")).select(
+        "row", "doc_id", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf"), "n"
+    )
+    return each.join(wanted.select("term").distinct(), "term", "left_semi")
 
 
 def item_terms(benchmark: DataFrame) -> DataFrame:
@@ -190,12 +226,13 @@ def search(
     never the result.  Odd input is described in the module docstring.
     """
     spark = documents.sparkSession
-    posts = postings(documents)
-    stats = posts.agg(F.count(F.when(F.col("lead"), 1)).alias("N"), F.sum("tf").alias("L")).first()
+    bagged = bags(documents)
+    stats = bagged.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.sum("n").alias("L")).first()
     n_docs, n_terms = int(stats["N"] or 0), int(stats["L"] or 0)
     asked = item_terms(benchmark)
     if not n_docs:
         return spark.createDataFrame([], RESULT)
+    posts = stage_table(postings(bagged, asked), "postings")
     df = posts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log((F.lit(2.0 * n_docs + 2)) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))).cast("long")
     weighted = asked.join(df, "term").select("item_id", "term", "df", weight.alias("w")).where(F.col("w") > 0)
