@@ -53,7 +53,9 @@ K1000, B_LOW, B_SPAN, TF_SCALE, M_SCALE = 1000, 10, 90, 1_000_000_000, 8
 # Lists longer than this are read document-at-a-time; shorter ones term-at-a-time.
 LONG_DF = 1024
 # Long postings one shard (and so one task) holds.
-SHARD_POSTINGS = 500_000
+SHARD_POSTINGS = 200_000
+# Documents one Arrow slice carries into and out of a worker.
+ROWS = 512
 # Items one task walks.
 ITEMS_PER_BLOCK = 1024
 # Candidates a document-at-a-time step scores at once.
@@ -96,19 +98,22 @@ _BAGS = T.StructType(
 
 
 def _bags(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its number of terms and its distinct terms with their counts."""
-    for frame in frames:
-        n, terms, tfs = [], [], []
-        for text in frame.column("text").to_pylist():
-            found = _WORD.findall(text.translate(_LOWER)) if text else []
-            bag = Counter(found)
-            n.append(len(found))
-            terms.append(list(bag))
-            tfs.append(list(bag.values()))
-        yield pa.RecordBatch.from_arrays(
-            [frame.column("row"), frame.column("doc_id"), pa.array(n, pa.int64()), pa.array(terms, pa.list_(pa.string())), pa.array(tfs, pa.list_(pa.int64()))],
-            schema=pa.schema([(f.name, t) for f, t in zip(_BAGS.fields, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())), strict=True)]),
-        )
+    """Per document its number of terms and its distinct terms with their counts, ``ROWS`` documents at a time."""
+    schema = pa.schema([(f.name, t) for f, t in zip(_BAGS.fields, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())), strict=True)])
+    for whole in frames:
+        for low in range(0, whole.num_rows, ROWS):
+            frame = whole.slice(low, ROWS)
+            n, terms, tfs = [], [], []
+            for text in frame.column("text").to_pylist():
+                found = _WORD.findall(text.translate(_LOWER)) if text else []
+                bag = Counter(found)
+                n.append(len(found))
+                terms.append(list(bag))
+                tfs.append(list(bag.values()))
+            yield pa.RecordBatch.from_arrays(
+                [frame.column("row"), frame.column("doc_id"), pa.array(n, pa.int64()), pa.array(terms, pa.list_(pa.string())), pa.array(tfs, pa.list_(pa.int64()))],
+                schema=schema,
+            )
 
 
 def bags(documents: DataFrame) -> DataFrame:
