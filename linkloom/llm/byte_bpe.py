@@ -66,7 +66,7 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.longest = max(map(len, ranks), default=1)
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.memo: dict[bytes, tuple[int, ...]] = {}
+        self.memo: dict[str, tuple[int, ...]] = {}
         self.memo_bytes = 0
         self.fallbacks = 0
 
@@ -98,12 +98,22 @@ class PrefixEncoder:
         last = (last or [-1])[: start + 1] + [-1] * (len(data) - start)
         text = data.decode("latin-1")
         begin = max(0, start - self.longest)
+        pairs = self.pairs
         for end, (token, length) in self.automaton.iter(text, begin):
             i = end + 1
             if i <= start or last[i] != -1:
                 continue
             j = i - length
-            if j == 0 or (last[j] >= 0 and self.valid_pair(last[j], token)):
+            if j == 0:
+                last[i] = token
+                continue
+            before = last[j]
+            if before < 0:
+                continue
+            valid = pairs.get((before, token))
+            if valid is None:
+                valid = self.valid_pair(before, token)
+            if valid:
                 last[i] = token
         return last
 
@@ -118,34 +128,35 @@ class PrefixEncoder:
             i -= len(self.token[token])
         return out[::-1]
 
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
-        found = self.memo.get(piece)
-        if found is None:
-            rank = self.ranks.get(piece)
-            if rank is not None:
-                found = (rank,)
-            else:
-                ids = self.walk(self.states(piece))
-                if ids is None:
-                    self.fallbacks += 1
-                    ids = self.merged(piece)
-                found = tuple(ids)
-            if self.memo_bytes > MEMO_BYTES:
-                self.memo.clear()
-                self.memo_bytes = 0
-            self.memo[piece] = found
-            self.memo_bytes += len(piece) + 8 * len(found) + 64
+    def encode_piece(self, piece: str) -> tuple[int, ...]:
+        """Ids of one piece of the pattern; remembered by the piece's text."""
+        data = piece.encode("utf-8")
+        rank = self.ranks.get(data)
+        if rank is not None:
+            found: tuple[int, ...] = (rank,)
+        else:
+            ids = self.walk(self.states(data))
+            if ids is None:
+                self.fallbacks += 1
+                ids = self.merged(data)
+            found = tuple(ids)
+        if self.memo_bytes > MEMO_BYTES:
+            self.memo.clear()
+            self.memo_bytes = 0
+        self.memo[piece] = found
+        self.memo_bytes += 2 * len(data) + 8 * len(found) + 120
         return found
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text: each piece of the pattern encoded on its own."""
-        out: list[int] = []
-        for match in self.pieces.finditer(text):
-            out.extend(self.encode_piece(match.group().encode("utf-8")))
+        memo, out = self.memo, []
+        for piece in self.pieces.findall(text):
+            found = memo.get(piece)
+            out += found if found is not None else self.encode_piece(piece)
         return out
 
     def decode(self, ids) -> bytes:
-        return b"".join(self.token[i] for i in ids)
+        return b"".join(map(self.token.__getitem__, ids))
 
     def reencode(self, last: list[int], new: bytes, edit: int) -> tuple[list[int], list[int]]:
         """States and ids of ``new``, which equals the old bytes before ``edit``: the states below are kept."""
@@ -226,16 +237,48 @@ def ids_sha256(ids: str) -> Column:
     return F.sha2(F.unhex(F.array_join(F.transform(F.coalesce(F.col(ids), F.array().cast("array<int>")), little), "")), 256)
 
 
+_DIGESTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+        T.StructField("round_trip", T.BooleanType()),
+    ]
+)
+
+
 def digests(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip`` of every document."""
-    coded = decode(encode(docs.select("doc_id", "text"), ranks_file, pattern), ranks_file)
-    return coded.select(
-        "doc_id",
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        ids_sha256("token_ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("round_trip"),
-    )
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip`` of every document.
+
+    One pass: each text is encoded and its ids decoded again by the operator;
+    the digests are taken from those ids and bytes (ids as little-endian
+    unsigned 32-bit integers), and ``round_trip`` tells whether the bytes are
+    the text's UTF-8.
+    """
+    name = _ship(docs, ranks_file)
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _encoder(name, pattern)
+        try:
+            for frame in _slices(frames):
+                n, ids_hex, bytes_hex, same = [], [], [], []
+                for text in frame.column("text").to_pylist():
+                    text = text or ""
+                    ids = coder.encode(text)
+                    decoded = coder.decode(ids)
+                    n.append(len(ids))
+                    ids_hex.append(hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest())
+                    bytes_hex.append(hashlib.sha256(decoded).hexdigest())
+                    same.append(decoded == text.encode("utf-8"))
+                yield pa.RecordBatch.from_arrays(
+                    [frame.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hex), pa.array(bytes_hex), pa.array(same)],
+                    names=[f.name for f in _DIGESTS.fields],
+                )
+        finally:
+            coder.end_task()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _DIGESTS)
 
 
 def plain_sha256(ids) -> str:
