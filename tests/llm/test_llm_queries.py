@@ -20,8 +20,8 @@ def test_query_equals_its_sql(spark, name):
     result = QUERIES[name](spark, FOLDER)
     columns = sorted(result.columns)
     duck = duckdb.connect()
-    for name in ("documents", "embeddings", "benchmark"):
-        duck.sql(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
+    for view in ("documents", "embeddings", "benchmark"):
+        duck.sql(f"CREATE VIEW {view} AS SELECT * FROM '{FOLDER}/{view}.parquet'")
     expected = duck.sql(ORACLES[name])
     assert sorted(expected.columns) == columns
     assert Counter(map(tuple, result.select(*columns).collect())) == Counter(expected.project(", ".join(columns)).fetchall())
