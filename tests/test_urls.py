@@ -81,6 +81,35 @@ def test_resolution_agrees_with_the_jdk(spark):
     assert not wrong, wrong[:5]
 
 
+def test_settled_links_agree_with_the_general_way(spark):
+    """Links read off their text come out as the general resolution has them, on odd pages too."""
+    pick = random.Random(11)
+    heads = ["http://", "https://", "http:", "https:/", "HTTP://", "mailto:", "Mailto:", "javascript:", "JAVASCRIPT:", "url:mailto:", "httpx://"]
+    pieces = ["a", "b.c", "/", "..", "?", "#", ":", "@", ":80", ":", ":99999999999", ":-1", "[::1]", " ", "\n", "\u00a0", "é", "\U0001f600"]
+    bases = [BASE, "mailto:/x", "javascript:/x", "http:q", "", "HTTPS://u@h/../a?b#c"]
+    pairs = [(pick.choice(bases), pick.choice(heads) + "".join(pick.choices(pieces, k=pick.randint(0, 4)))) for _ in range(2000)]
+    frame = spark.createDataFrame(sorted(set(pairs)), "base string, href string")
+    general = urls.bind(urls._base_parts(F.col("base")), lambda base: urls._resolve_parts(base, F.col("href")))
+    fast = urls.resolve_url(F.col("base"), F.col("href"))
+    assert frame.select("base", "href", fast.alias("fast"), general.alias("general")).where("NOT fast <=> general").collect() == []
+
+
+def test_web_and_mail_links_skip_the_general_way(spark):
+    """The costly general resolution is for links that need the page or are odd."""
+    frame = spark.createDataFrame(
+        [("https://h.org/x?y#z",), ("http://h:80",), ("mailto:a@b",), ("javascript:f()",)], "href string"
+    )
+    broken = lambda base, href: F.raise_error(F.lit("general")).cast("struct<dst:string,error_class:string>")
+    usual, urls._resolve_parts = urls._resolve_parts, broken
+    try:
+        found = frame.select("href", urls.resolve_url(F.lit(BASE), F.col("href")).alias("r")).collect()
+    finally:
+        urls._resolve_parts = usual
+    assert [tuple(row.r) for row in found] == [
+        ("https://h.org/x?y#z", None), ("http://h:80", None), (None, "protocol"), (None, "malformed")
+    ]
+
+
 def test_parts(spark):
     cases = {
         "HTTP://User@Host.Org:80/a/b?c#d": ("http", "Host.Org", "/a/b"),
