@@ -24,8 +24,9 @@ from linkloom.session import delete_at_exit
 
 # Salts per URL: a URL with very many pages is read by as many tasks.
 SALTS = 8
-# Pages per bucket when the number of buckets is not given.
+# Pages and bytes of html per bucket when the number of buckets is not given.
 PAGES_PER_BUCKET = 200_000
+BYTES_PER_BUCKET = 64 << 20
 
 
 def salt(page_id: str = "page_id", salts: int = SALTS):
@@ -35,14 +36,17 @@ def salt(page_id: str = "page_id", salts: int = SALTS):
 def store_pages(pages: DataFrame, buckets: int | None = None, salts: int = SALTS) -> DataFrame:
     """Write ``(page_id, url, html)`` as a table bucketed and sorted by ``(url, salt)``; return the stored table.
 
-    ``buckets`` defaults to one per ``PAGES_PER_BUCKET`` counted pages.  Pages
+    ``buckets`` defaults to one per ``BYTES_PER_BUCKET`` of html, or per
+    ``PAGES_PER_BUCKET`` pages if these are more: one task reads one bucket, so
+    its share must not grow with the table.  Pages
     are dealt by the bucket columns before the write, so each bucket is one
     sorted file.  The table lives in the warehouse, which all executors share,
     and is removed when the session's JVM ends.
     """
     spark = pages.sparkSession
     if buckets is None:
-        buckets = max(1, math.ceil(pages.count() / PAGES_PER_BUCKET))
+        found = pages.agg(F.count("*").alias("pages"), F.sum(F.octet_length("html")).alias("bytes")).first()
+        buckets = max(1, math.ceil(found["pages"] / PAGES_PER_BUCKET), math.ceil((found["bytes"] or 0) / BYTES_PER_BUCKET))
     name = f"linkloom_pages_{uuid.uuid4().hex}"
     laid = pages.select("page_id", "url", "html", salt(salts=salts).alias("salt"))
     (

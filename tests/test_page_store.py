@@ -48,3 +48,13 @@ def test_html_never_crosses_an_exchange(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert exchanges and not any("html" in line for line in exchanges)
     assert "SelectedBucketsCount: 4 out of 4" in plan
+
+
+def test_buckets_follow_the_bytes(spark, monkeypatch):
+    """Few pages with much html take as many buckets as their bytes ask for."""
+    monkeypatch.setattr(page_store, "BYTES_PER_BUCKET", 1_000, raising=False)
+    table = spark.createDataFrame([(i, f"http://a.example/{i}", "x" * 500) for i in range(20)], PAGE_SCHEMA)
+    store = page_store.store_pages(table)
+    assert len(store.inputFiles()) > 4  # one file per bucket that is not empty
+    wanted = table.select("url")
+    assert rows(page_store.fetch_stored(wanted, store)) == rows(fetch(wanted, table))
