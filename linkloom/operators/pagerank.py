@@ -6,10 +6,12 @@ ranks sum to the number of vertices.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkloom.operators.adjacency import HOT_EDGES, Adjacency, lay_out
+from linkloom.operators.graph import link_urls, number_urls, numbered_ends, url_hash
 from linkloom.session import iterating, settle, stage_table
 
 RESET = 0.15
@@ -18,16 +20,35 @@ TOLERANCE = 1e-4
 ROUNDS_PER_STAGE = 5
 
 
-def _nodes(weighted: DataFrame, vertices: DataFrame | None) -> DataFrame:
-    """``(id, out_degree)`` of every end-point and given vertex, from one aggregation."""
-    ends = weighted.select(F.col("src").alias("id"), "copies").unionByName(
-        weighted.select(F.col("dst").alias("id"), F.lit(0).cast("bigint").alias("copies"))
-    )
+def _nodes(weighted: DataFrame, vertices: DataFrame | None, every: bool = False) -> DataFrame:
+    """``(id, out_degree)`` of every end-point and given vertex, from one aggregation.
+
+    With ``every`` the given vertices hold all end-points.
+    """
+    ends = weighted.select(F.col("src").alias("id"), "copies")
+    others = [] if every else [weighted.select(F.col("dst").alias("id"))]
     if vertices is not None:
-        ends = ends.unionByName(vertices.select("id", F.lit(0).cast("bigint").alias("copies")))
+        others.append(vertices.select("id"))
+    for frame in others:
+        ends = ends.unionByName(frame.withColumn("copies", F.lit(0).cast("bigint")))
     return ends.groupBy("id").agg(F.sum("copies").alias("out_degree"))
 
 
+def _text_id(text: Column, attempt: int) -> Column:
+    """The number of a text id; no id stays none."""
+    return F.when(text.isNotNull(), url_hash(text, attempt))
+
+
+def _numbered(edges: DataFrame, vertices: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Edges with numbers for text ids, and ``(id, url)``: the text of each number, given vertices included."""
+    edges = stage_table(edges.select("src", "dst"), "text-edges")
+    texts = link_urls(edges)
+    if vertices is not None:
+        texts = texts.unionByName(vertices.select(F.col("id").alias("url"))).distinct()
+    names, moved = number_urls(texts, _text_id)
+    return numbered_ends(edges, moved, _text_id), names
+
+
 def pagerank(
     edges: DataFrame,
     vertices: DataFrame | None = None,
@@ -37,8 +58,9 @@ def pagerank(
 ) -> DataFrame:
     """``ranks(id, rank)`` of ``edges(src, dst)``; every end-point and given vertex has a rank.
 
-    Ids may be of any type; numbers (see :func:`linkloom.operators.graph.global_graph`)
-    make the smallest messages.
+    Ids may be of any type; texts are numbered for the loop (see
+    :func:`linkloom.operators.graph.number_urls`), so that its messages are small
+    and sorted as numbers, and looked up once at the end.
 
     Without ``iterations`` a vertex keeps passing on its change until the
     change is at most ``tol``, and the loop ends when none is left; with it,
@@ -48,15 +70,20 @@ def pagerank(
     shared checkpoint folder, so lineage stays short and a lost executor costs
     a few rounds at most.
     """
+    names = None
+    if all(isinstance(edges.schema[end].dataType, T.StringType) for end in ("src", "dst")):
+        edges, names = _numbered(edges, vertices)
+        vertices = names.select("id")
     weighted = stage_table(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")), "weights")
     adjacency = lay_out(weighted, hot_edges, 0 if vertices is None else vertices.count())
     with iterating(edges.sparkSession, adjacency.width):
         # Aggregated by id under the loop's settings, so already partitioned like its edges.
-        nodes = settle(_nodes(weighted, vertices).sortWithinPartitions("id"))
+        nodes = settle(_nodes(weighted, vertices, names is not None).sortWithinPartitions("id"))
         ranks = _until_settled(adjacency, nodes, tol) if iterations is None else _rounds(adjacency, nodes, iterations)
         adjacency.release()
         scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).first()["scale"]
-    return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("rank"))
+    ranks = ranks.select("id", (F.col("rank") * F.lit(scale)).alias("rank"))
+    return ranks if names is None else label_ranks(ranks, names).select(F.col("url").alias("id"), "rank")
 
 
 def _received(adjacency: Adjacency, passing: DataFrame, amount: str) -> DataFrame:

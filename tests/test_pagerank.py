@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 
+from linkloom.operators import pagerank as module
 from linkloom.operators.pagerank import pagerank
 
 GOLDEN = {
@@ -76,6 +77,27 @@ def test_converged_is_close_to_many_rounds(spark, hub_pairs):
     assert ranks(pagerank(edges, hot_edges=5)) == pytest.approx(brute_force(hub_pairs, 60), abs=0.02)
 
 
+@pytest.mark.parametrize("options", [{"iterations": 4}, {}])
+def test_text_ids_loop_as_numbers(spark, monkeypatch, options):
+    """Text ids, a missing one and an unlinked vertex among them, rank as numbers do; the loop sees numbers only."""
+    pick = random.Random(5)
+    pairs = [(pick.choice([None, *range(12)]), pick.choice([None, *range(12)])) for _ in range(60)]
+    seen = []
+
+    def watched(edges, *rest):
+        seen.append(dict(edges.dtypes)["src"])
+        return usual(edges, *rest)
+
+    usual = module.lay_out
+    monkeypatch.setattr(module, "lay_out", watched)
+    edges = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    vertices = spark.createDataFrame([(0,), (77,), (None,)], "id bigint")
+    numbers = ranks(pagerank(edges, vertices, **options))
+    texts = ranks(pagerank(edges.selectExpr("'v' || src src", "'v' || dst dst"), vertices.selectExpr("'v' || id id"), **options))
+    assert texts == pytest.approx({i if i is None else f"v{i}": rank for i, rank in numbers.items()}, abs=1e-9)
+    assert seen == ["bigint", "bigint"]
+
+
 def test_settings_are_restored(spark, hub_pairs):
     names = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
     before = [spark.conf.get(name) for name in names]
