@@ -10,7 +10,11 @@ Candidates are bounded by a parity sketch, and what remains is settled by binary
 probes of the whole sets, counted up to ``T``.
 
 Copies are one representative, and of a list every member is compared with its
-first one; all others are compared only where they are not connected already.
+first one; all others are compared only where they are not connected already:
+a forest of the pairs that sketches leave possible names the documents in
+question, and their whole sets are then compared where their lists lie, until
+they are connected.  Lists that begin with the same document lie together, so a
+family of texts that shares many lists is compared about once.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from linkloom.llm import golomb
 from linkloom.llm.components import components
 from linkloom.llm.words import fresh, hash_cache, hashes, staged, text_bytes
+from linkloom.session import drop_stage
 
 # Members from which a list counts as long.
 LONG = 64
@@ -37,7 +42,12 @@ BLOCK = 1_024
 # Bits of a shingle's hash that the inverted lists are keyed by.
 LIST_BITS = 44
 # List entries a task sorts before it sends them on.
-SENT_ENTRIES = 2_000_000
+SENT_ENTRIES = 500_000
+# Entries, and shingles of their sets, of lists that begin with the same document and are compared by one task.
+LED_ENTRIES = 10_000
+LED_SHINGLES = 10_000_000
+# Pairs a task remembers as compared; bounds its memory, never a result.
+TESTED_PAIRS = 500_000
 MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
 )
@@ -151,7 +161,7 @@ def _send(measure: Measure, owners: int):
                 if not n or doc is None or identity in seen:
                     continue
                 seen.add(identity)
-                held.append((doc, shingles[: measure.listed(n)]))
+                held.append((doc, shingles[: measure.listed(n)].copy()))
                 count += len(held[-1][1])
                 if count >= SENT_ENTRIES:
                     yield batch(entries(part, held))
@@ -219,73 +229,146 @@ def _bounded(measure: Measure):
     return run
 
 
-# Members up to which a list is compared pair by pair in plain integers; larger ones as arrays.
+class Forest:
+    """Which of some numbered items are connected."""
+
+    def __init__(self, size: int) -> None:
+        self.above = list(range(size))
+
+    def root(self, at: int) -> int:
+        above = self.above
+        while above[at] != at:
+            above[at] = above[above[at]]
+            at = above[at]
+        return at
+
+    def join(self, a: int, b: int) -> None:
+        self.above[self.root(b)] = self.root(a)
+
+
+def _lists(entries: pd.DataFrame, place: dict[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Of every list, or pair of its blocks: the places of the documents on either side, and whether that is the whole list."""
+    entries = entries.sort_values(["token", "one", "other"], kind="stable")
+    keys = entries[["token", "one", "other"]].to_numpy()
+    docs = np.array([place[d] for d in entries["doc_id"].tolist()], np.int64)
+    side, blocks = entries["block"].to_numpy(), entries["blocks"].to_numpy()
+    bounds = [0, *(np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1).tolist(), len(entries)]
+    for low, high in zip(bounds, bounds[1:]):
+        if high > low:
+            here = side[low:high]
+            left = np.unique(docs[low:high][here == keys[low, 1]])
+            yield left, np.unique(docs[low:high][here == keys[low, 2]]), bool(blocks[low] == 1)
+
+
+def _candidates(measure: Measure, sizes: np.ndarray, sketches: list[bytes], comps: np.ndarray):
+    """For a document and others: those of other components that their sketches leave possible, the likeliest first."""
+    widths = np.array([len(x) for x in sketches])
+    grids, within = {}, np.zeros(len(sketches), np.int64)
+    for w in np.unique(widths):
+        grids[w] = np.stack([np.frombuffer(sketches[i], np.uint8) for i in np.flatnonzero(widths == w)])
+        within[widths == w] = np.arange((widths == w).sum())
+
+    def find(i: int, others: np.ndarray) -> list[int]:
+        ratio = measure.percent * np.maximum(sizes[others], sizes[i]) <= 100 * np.minimum(sizes[others], sizes[i])
+        near = others[ratio & (comps[others] != comps[i])]
+        if not len(near):
+            return []
+        own, margin = grids[widths[i]][within[i]], np.empty(len(near), np.int64)
+        for w in np.unique(widths[near]):
+            some = widths[near] == w
+            bound = most_common(grids[w][within[near[some]]], own[None, :], sizes[near[some]], sizes[i])
+            margin[some] = bound - measure.required(sizes[near[some]], sizes[i])
+        return near[np.argsort(-margin, kind="stable")][: int((margin >= 0).sum())].tolist()
+
+    return find
+
+
+# Documents up to which a list is compared pair by pair in plain integers; larger ones as arrays.
 FEW = 48
 
 
-def _unconnected(measure: Measure):
-    """Within blocks of a list: pairs of different components that their sketches leave possible.
+def _questioned(measure: Measure):
+    """A forest of the pairs of different components that sketches leave possible: it touches every document of such a pair.
 
     The first member of a list was compared with all others before.
     """
 
-    def few(rows: list[tuple[int, int, int, bytes]], tried: set[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-        first = min(rows)[0]
-        rows = sorted(row for row in rows if row[0] != first)
-        whole = [int.from_bytes(row[3], "big") for row in rows]
-        for j, (b, comp, size, bits) in enumerate(rows):
-            for i in range(j):
-                a, other_comp, other, other_bits = rows[i]
-                if comp == other_comp or a == b or measure.percent * max(size, other) > 100 * min(size, other):
-                    continue
-                if (a, b) in tried:
-                    continue
-                tried.add((a, b))
-                x, y, width, narrow = whole[i], whole[j], 8 * len(other_bits), 8 * len(bits)
-                if width < narrow:
-                    x, y, width, narrow = y, x, narrow, width
-                while width > narrow:
-                    width //= 2
-                    x = (x >> width) ^ (x & ((1 << width) - 1))
-                if (size + other - (x ^ y).bit_count()) // 2 >= measure.required(size, other):
-                    yield a, b
-
-    def many(part: pd.DataFrame, one: int, other: int) -> Iterator[tuple[int, int]]:
-        docs, comps, sizes, side = (part[c].to_numpy() for c in ("doc_id", "component", "n", "block"))
-        left, right = np.flatnonzero(side == one), np.flatnonzero(side == other)
-        widths = np.array([len(x) for x in part["sketch"]])
-        grids = {w: np.stack([np.frombuffer(x, np.uint8) for x in part["sketch"][widths == w]]) for w in np.unique(widths)}
-        within = np.zeros(len(part), np.int64)
-        for w in grids:
-            within[widths == w] = np.arange((widths == w).sum())
-        for i in left.tolist():
-            enough = (comps[right] != comps[i]) & ((docs[right] > docs[i]) if one == other else (docs[right] != docs[i]))
-            ratio = measure.percent * np.maximum(sizes[right], sizes[i]) <= 100 * np.minimum(sizes[right], sizes[i])
-            near = right[enough & ratio]
-            own = grids[widths[i]][within[i]]
-            for w in np.unique(widths[near]):
-                some = near[widths[near] == w]
-                bound = most_common(grids[w][within[some]], own[None, :], sizes[some], sizes[i])
-                for j in some[bound >= measure.required(sizes[some], sizes[i])].tolist():
-                    yield min(docs[i], docs[j]), max(docs[i], docs[j])
-
-    def run(members: pd.DataFrame) -> pd.DataFrame:
-        found: set[tuple[int, int]] = set()
-        tried: set[tuple[int, int]] = set()
-        members = members.sort_values(["token", "one", "other"], kind="stable")
-        keys = members[["token", "one", "other"]].to_numpy()
-        edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
-        bounds = [0, *edges.tolist(), len(members)]
-        columns = [members[c].tolist() for c in ("doc_id", "component", "n", "sketch")]
-        blocks = members["blocks"].tolist()
-        for low, high in zip(bounds, bounds[1:]):
-            if high - low <= FEW and blocks[low] == 1:
-                found.update(few(list(zip(*(c[low:high] for c in columns), strict=True)), tried))
-                if len(tried) > 1_000_000:
-                    tried.clear()
-            elif high > low:
-                found.update(many(members.iloc[low:high], int(keys[low, 1]), int(keys[low, 2])))
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype=np.int64)
+    def run(entries: pd.DataFrame) -> pd.DataFrame:
+        known = entries.drop_duplicates("doc_id").sort_values("doc_id")
+        docs, sizes, bits, comps = (known[c].tolist() for c in ("doc_id", "n", "sketch", "component"))
+        find = _candidates(measure, np.array(sizes, np.int64), bits, np.array(comps, np.int64))
+        whole = [int.from_bytes(x, "big") for x in bits]
+        forest, found = Forest(len(docs)), set()
+        tested: set[int] = set()
+
+        def possible(i: int, j: int) -> bool:
+            if comps[i] == comps[j] or measure.percent * max(sizes[i], sizes[j]) > 100 * min(sizes[i], sizes[j]):
+                return False
+            pair = i * len(docs) + j
+            if pair in tested:
+                return False
+            if len(tested) >= TESTED_PAIRS:
+                tested.clear()
+            tested.add(pair)
+            x, y, width, narrow = whole[i], whole[j], 8 * len(bits[i]), 8 * len(bits[j])
+            if width < narrow:
+                x, y, width, narrow = y, x, narrow, width
+            while width > narrow:
+                width //= 2
+                x = (x >> width) ^ (x & ((1 << width) - 1))
+            return (sizes[i] + sizes[j] - (x ^ y).bit_count()) // 2 >= measure.required(sizes[i], sizes[j])
+
+        def joined(i: int, j: int) -> None:
+            if forest.root(i) != forest.root(j):
+                forest.join(i, j)
+                found.update((docs[i], docs[j]))
+
+        for left, right, same in _lists(entries, {d: i for i, d in enumerate(docs)}):
+            if same and len(left) <= FEW:
+                members = left.tolist()[1:]
+                for at, j in enumerate(members):
+                    for i in members[:at]:
+                        if possible(i, j):
+                            joined(i, j)
+                continue
+            for i in left.tolist():
+                roots = np.array([forest.root(j) for j in right.tolist()], np.int64)
+                for j in find(i, right[roots != forest.root(i)]):
+                    joined(i, j)
+        return pd.DataFrame({"doc_id": sorted(found)}, dtype=np.int64)
+
+    return run
+
+
+def _connected(measure: Measure):
+    """Pairs whose whole sets are similar, as many as connect what any of them connects."""
+
+    def run(entries: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        known = known.drop_duplicates("node")
+        docs = known["node"].tolist()
+        sets = [np.frombuffer(x, np.uint64) for x in known["shingles"]]
+        comps = known["component"].to_numpy()
+        find = _candidates(measure, np.array([len(x) for x in sets], np.int64), [sketch(x) for x in sets], comps)
+        forest, found = Forest(len(docs)), []
+        tested: set[int] = set()
+        first = {c: i for i, c in reversed(list(enumerate(comps.tolist())))}
+        for i, c in enumerate(comps.tolist()):
+            forest.join(first[c], i)
+        for left, right, _ in _lists(entries, {d: i for i, d in enumerate(docs)}):
+            for i in left.tolist():
+                roots = np.array([forest.root(j) for j in right.tolist()], np.int64)
+                for j in find(i, right[roots != forest.root(i)]):
+                    pair = min(i, j) * len(docs) + max(i, j)
+                    if pair in tested or forest.root(i) == forest.root(j):
+                        continue
+                    if len(tested) >= TESTED_PAIRS:
+                        tested.clear()
+                    tested.add(pair)
+                    needed = int(measure.required(len(sets[i]), len(sets[j])))
+                    if common(sets[i], sets[j], needed) >= needed:
+                        forest.join(i, j)
+                        found.append((docs[i], docs[j]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return run
 
@@ -336,18 +419,54 @@ def _compressed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([frame.column(0), data], ["doc_id", "packed"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
-    """The pairs whose whole sets are similar.  Texts are shuffled once, compressed; only candidates' sets go on."""
-    pairs = staged(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def _sets(wanted: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
+    """``doc_id, shingles`` of the ``wanted`` ids.  Texts are shuffled once, compressed; only these sets go on."""
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
     packed = texts.mapInArrow(_compressed, "doc_id long, packed binary")
     sets = packed.join(wanted, "doc_id", "left_semi").mapInArrow(_packed_sets(measure), "doc_id long, shingles binary")
-    sets = staged(sets.dropDuplicates(["doc_id"]), "sets")
+    return staged(sets.dropDuplicates(["doc_id"]), "sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs whose whole sets are similar."""
+    pairs = staged(pairs, "candidates")
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, measure)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b"
     )
-    return staged(both.mapInArrow(_similar(measure), "a long, b long"), "links")
+    links = staged(both.mapInArrow(_similar(measure), "a long, b long"), "links")
+    drop_stage(sets)
+    return links
+
+
+def _led(labelled: DataFrame, least: int) -> DataFrame:
+    """Entries ``token, doc_id, n, component`` of lists with ``least`` members and several components, long lists as pairs of blocks, under the task ``led`` that compares them.
+
+    A task's lists begin with the same document; those of a document with very many entries are dealt to several tasks.
+    """
+    mixed = (
+        labelled.groupBy("token")
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.min("doc_id").alias("lead"),
+            F.count("*").alias("members"),
+            F.sum("n").alias("shingles"),
+        )
+        .where((F.col("least") != F.col("most")) & (F.col("members") >= least))
+        .select("token", "lead", "members", "shingles", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    )
+    mixed = staged(mixed, "mixed")
+    share = F.greatest(F.sum("members") / LED_ENTRIES, F.sum("shingles") / LED_SHINGLES)
+    leads = mixed.groupBy("lead").agg(F.ceil(share).cast("int").alias("salts"))
+    mixed = mixed.join(leads, "lead").select("token", "lead", "blocks", F.pmod("token", "salts").alias("salt"))
+    blocked = labelled.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    spread = blocked.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")).withColumns(
+        {"one": F.least("block", "with"), "other": F.greatest("block", "with")}
+    )
+    return spread.select(
+        "token", "doc_id", "n", "component", "blocks", "block", "one", "other", F.xxhash64("lead", "salt", "one", "other").alias("led")
+    )
 
 
 def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
@@ -362,7 +481,7 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
     owners = 2 * width
     sent = staged(texts.mapInArrow(_send(measure, owners), SENT), "lists")
-    sets = sent.where("owner IS NULL").select("doc_id", "n", "low", "high", "sketch")
+    sets = staged(sent.where("owner IS NULL").select("doc_id", "n", "low", "high", "sketch"), "identities")
     entries = sent.where("owner IS NOT NULL").select("part", "owner", "coded", "runs", "docs", "places")
     classes = staged(
         sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "low", "high").agg(F.min("doc_id").alias("rep")), "classes"
@@ -379,12 +498,14 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
     )
     members = entries.join(answers, ["part", "owner"]).select("owner", "coded", "runs", "docs", "places", "lengths")
     members = staged(members.mapInArrow(_members(owners), "token long, doc_id long, place int, long boolean"), "members")
+    drop_stage(sent)
     # Of copies any one may have been listed; it stands for its representative.
     standing = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "low", "high").dropDuplicates(["doc_id"])
     standing = standing.join(classes, ["n", "low", "high"]).select("doc_id", "rep", "n")
-    members = staged(
+    listed, members = members, staged(
         members.join(standing, "doc_id").select("token", F.col("rep").alias("doc_id"), "n", "long"), "representative-members"
     )
+    drop_stage(listed)
     # Which documents are searched through short lists alone.
     percent, n = measure.percent, F.col("n")
     differing = lambda size: size - F.ceil(size * percent / 100)
@@ -393,6 +514,7 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
     deep = members.groupBy("doc_id", "n").agg(F.sum(F.col("long").cast("int")).alias("n_long")).where(F.col("n_long") > skips)
     lists = members.join(deep.select("doc_id", F.lit(True).alias("deep")), "doc_id", "left").where("NOT long OR deep")
     lists = staged(lists.select("token", "doc_id", "n"), "searched")
+    drop_stage(members)
 
     ratio = lambda a, b: F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
     first = lists.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("members"))
@@ -408,31 +530,36 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
         sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b"
     )
     links = _verified(sided.mapInArrow(_bounded(measure), "a long, b long"), docs, measure)
+    drop_stage(first)
     labels = components(links)
 
-    # What is not connected yet: members of lists with several components, in blocks.
+    # What is not connected yet: members of lists with several components.
     labelled = lists.join(labels, lists["doc_id"] == labels["node"], "left").select(
-        "token", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    mixed = (
-        labelled.groupBy("token")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members"))
-        .where("least <> most AND members > 2")
-        .select("token", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        "token", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")
     )
-    blocked = labelled.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    spread = blocked.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
-    ).select(
-        "token", "doc_id", "component", "blocks", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")
-    )
-    rest = (
-        spread.join(sketches, "doc_id")
-        .groupBy(F.pmod(F.xxhash64("token", "one", "other"), F.lit(4 * width)))
-        .applyInPandas(_unconnected(measure), "a long, b long")
+    labelled = staged(labelled, "labelled")
+    parts = F.pmod("led", F.lit(4 * width))
+    questioned = (
+        _led(labelled, 3)
+        .join(sketches.drop("n"), "doc_id")
+        .groupBy(parts)
+        .applyInPandas(_questioned(measure), "doc_id long")
         .distinct()
     )
-    more = _verified(rest, docs, measure)
+    questioned = staged(questioned, "questioned")
+    asked = staged(_led(labelled.join(questioned, "doc_id", "left_semi"), 2).withColumn("part", parts), "asked")
+    whole = _sets(questioned, docs, measure)
+    needed = asked.select(F.col("part").alias("of"), F.col("doc_id").alias("node"), "component").distinct()
+    needed = needed.join(whole.withColumnRenamed("doc_id", "node"), "node")
+    more = (
+        asked.select("part", "token", "doc_id", "blocks", "block", "one", "other")
+        .groupBy("part")
+        .cogroup(needed.groupBy("of"))
+        .applyInPandas(_connected(measure), "a long, b long")
+    )
+    more = staged(more.distinct(), "links")
+    for used in (lists, labelled, questioned, asked, whole):
+        drop_stage(used)
     labels = components(links.unionByName(more))
 
     known = classes.join(labels, classes["rep"] == labels["node"], "left").select(
@@ -451,4 +578,4 @@ def drop_near_copies(docs: DataFrame, measure: Measure = Measure()) -> DataFrame
     groups = similar_documents(docs, measure)
     key = fresh(docs, "gone")
     gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone[key], "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone[key], "left_anti")

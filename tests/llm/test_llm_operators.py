@@ -13,6 +13,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,6 +150,30 @@ def test_similar_documents(docs, texts, nothing, monkeypatch, width, percent, lo
         assert {r["doc_id"] for r in kept.collect()} == {c for _, c in expected.values()} | {None}
 
 
+def test_a_family_is_compared_where_its_lists_lie(spark):
+    # Every text differs from the others in words of its own: the first one is like few, and no list tells who is linked.
+    words = [f"w{i}" for i in range(120)]
+    own = {d: [f"o{d}" if 3 <= (i * 7 + d) % 120 < 5 + d % 3 else w for i, w in enumerate(words)] for d in range(60)}
+    rows = [(d, " ".join(w)) for d, w in own.items()]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_documents(table, jaccard.Measure(4, 85)).collect()}
+    assert found == similar_by_brute_force(rows, 4, 85)
+
+
+def test_questioned_documents_are_as_many_as_there_are():
+    # All pairs of 40 sets that lie in the same 30 lists: documents come back, not pairs of them, and each once.
+    measure, rng = jaccard.Measure(), np.random.default_rng(1)
+    shared = rng.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 2**63, 10).astype(np.uint64)])) for _ in range(40)]
+    entries = pd.DataFrame(
+        [(t, d, len(s), d, 1, 0, 0, 0, jaccard.sketch(s)) for t in range(30) for d, s in enumerate(sets)],
+        columns=["token", "doc_id", "n", "component", "blocks", "block", "one", "other", "sketch"],
+    )
+    assert jaccard._questioned(measure)(entries)["doc_id"].tolist() == list(range(1, 40))
+    known = pd.DataFrame({"node": range(40), "component": range(40), "shingles": [s.tobytes() for s in sets]})
+    assert len(jaccard._connected(measure)(entries, known)) == 39
+
+
 def test_required_occurrences_hold_for_all_sizes():
     measure = jaccard.Measure(4, 85)
     for n in range(1, 400):
