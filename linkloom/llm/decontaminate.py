@@ -158,4 +158,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the texts that hold a benchmark item, all columns kept; rows without an id are looked at, too."""
     key = fresh(docs, "held")
     bad = contaminated(docs, benchmark).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad[key]), "left_anti")
+    return docs.join(bad.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(bad[key]), "left_anti")

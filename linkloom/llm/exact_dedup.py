@@ -134,7 +134,7 @@ def duplicate_classes(docs: DataFrame, id_column: str = "doc_id", text_column: s
     text = F.coalesce(F.col(text_column), F.lit(""))
     found = (
         docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"))
-        .join(suspects(docs, id_column, text_column), "doc_id", "left_semi")
+        .join(suspects(docs, id_column, text_column).hint("merge"), "doc_id", "left_semi")
         .groupBy(F.sha2("text", 256).alias("text_sha256"))
         .agg(
             F.max("doc_id").alias("keep_id"),
@@ -173,16 +173,21 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` without the copies, all columns kept; a repeated row stays once."""
     columns = docs.columns
-    digest = fresh(docs, "digest")
-    keep = fresh(docs, "keep")
+    key, digest, row = fresh(docs, "key"), fresh(docs, "digest"), fresh(docs, "row")
     classes = staged(duplicate_classes(docs, id_column, text_column), "copies")
     text = F.coalesce(F.col(text_column), F.lit(""))
-    marked = docs.withColumn(digest, F.sha2(text, 256)).join(
-        classes.select(F.col("text_sha256").alias(digest), F.col("keep_id").alias(keep)), digest, "left"
+    keyed = docs.withColumn(key, F.col(id_column).cast("long")).withColumn(digest, F.sha2(text, 256))
+    gone = (
+        keyed.select(key, digest)
+        .join(classes.select(F.col("text_sha256").alias(digest), "keep_id").hint("merge"), digest)
+        .where(F.col("keep_id") != F.col(key))
+        .select(key, digest)
+        .distinct()
     )
-    alone = marked.where(F.col(keep).isNull() | F.col(id_column).isNull())
-    stays = marked.where(F.col(keep) == F.col(id_column)).dropDuplicates([digest])
-    return alone.select(columns).unionByName(stays.select(columns))
+    # Texts move once, by id and digest: the copies of one text are spread.  A repeated row meets itself there.
+    stays = keyed.join(gone.hint("merge"), [key, digest], "left_anti")
+    told_apart = stays.withColumn(row, F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    return told_apart.dropDuplicates([key, digest, row]).select(columns)
 
 
 ORACLE = """
