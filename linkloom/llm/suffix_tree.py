@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.words import held_out, staged, text_bytes
+from linkloom.session import drop_stage
 
 DEPTH = 5
 # Divergence times count, in nats, below which a context adds nothing to its suffix.
@@ -266,6 +267,7 @@ def text_scores(slices: DataFrame) -> DataFrame:
     sent = staged(slices.select("slice", "sizes", "held", "letters").mapInArrow(_gathered(buckets), schema), "grams")
     counted = staged(sent.groupBy("bucket").applyInPandas(_counted, "gram long, n long"), "gram-counts")
     logs = staged(gram_logs(counted), "gram-logs")
+    drop_stage(counted)
     owned = logs.withColumn("bucket", (F.col("gram") % F.lit(buckets)).cast("int"))
     answers = (
         sent.select("bucket", "slice", "grams")
@@ -273,6 +275,9 @@ def text_scores(slices: DataFrame) -> DataFrame:
         .cogroup(owned.groupBy("bucket"))
         .applyInPandas(_answered, "slice string, bucket int, logs binary")
     )
+    answers = staged(answers, "answers")
+    drop_stage(sent)
+    drop_stage(logs)
     asked = slices.select("slice", "rows", "sizes", "letters").groupBy("slice")
     sums = asked.cogroup(answers.groupBy("slice")).applyInPandas(_summed(buckets), "row long, score double")
     return sums.groupBy("row").agg(F.sum("score").alias("score"))
