@@ -12,6 +12,7 @@ word, since no piece reaches across the start of a word.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,6 +33,8 @@ UNKNOWN_PENALTY = 10.0
 # Pairs of pieces whose weight a worker remembers, and rows it encodes or decodes at once; both bound its memory.
 KNOWN_PAIRS = 600_000
 ROWS = 128
+# Encoded words a worker remembers.
+ENCODED_WORDS = 600_000
 INFINITE = float("inf")
 
 
@@ -89,6 +92,8 @@ class PieceTransducer:
         self.unknown = next((i for i, kind in enumerate(self.kinds) if kind == UNKNOWN), 0)
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == BYTE}
         self.longest = max(map(len, self.ids), default=1)
+        # Every beginning of a piece, with the id of the piece that it is, or -1.
+        self.spelled = {p[:end]: -1 for p in self.ids for end in range(1, len(p))} | self.ids
         self.worst = min((self.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
         alphabet = {c for p in self.ids for c in p}
         crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
@@ -96,7 +101,7 @@ class PieceTransducer:
         other = rf"[^{SPACE}\n]" if newline else f"[^{SPACE}]"
         self.cut = None if crossing else re.compile(rf"{newline}{SPACE}*{other}+|{SPACE}+", re.S)
         self.follow: dict[int, bool] = {}
-        self.words: WordCache[bytes] = WordCache(self._encode_word)
+        self.words: WordCache[bytes] = WordCache(self._encode_word, ENCODED_WORDS)
         texts = self._decoded_pieces()
         self.letters = np.frombuffer(b"".join(texts), np.uint8)
         self.sizes = np.array([len(t) for t in texts], np.int64)
@@ -166,30 +171,42 @@ class PieceTransducer:
             at = back[at]
         return path[::-1]
 
+    def _arcs(self, word: str, at: int) -> list[tuple[int, int | None]]:
+        """Where each piece that begins at ``at`` ends, and its id, the longest last; a character without a piece is one."""
+        spelled, size, end = self.spelled, len(word), at + 1
+        found = spelled.get(word[at:end])
+        arcs: list[tuple[int, int | None]] = [(end, None if found is None or found < 0 else found)]
+        while found is not None and end < size:
+            end += 1
+            found = spelled.get(word[at:end])
+            if found is not None and found >= 0:
+                arcs.append((end, found))
+        return arcs
+
     def _finite(self, word: str) -> list[str]:
         """The path of finite weight, found depth first with the longest piece first; dead ends are remembered."""
-        ids, size, dead = self.ids, len(word), set()
+        size, dead, follow = len(word), set(), self.follow
         path: list[tuple[int, int | None]] = []  # where each piece ends, and its id
-        at, last, end = 0, None, min(size, self.longest)
-        while at < size:
-            while end > at:
-                found = ids.get(word[at:end])
-                if found is None:
-                    if end == at + 1:
-                        break
-                elif (end, found) not in dead and (last is None or self.follows(last, found)):
+        left: list[list[tuple[int, int | None]]] = []  # arcs not tried yet beside each piece of the path
+        last, arcs = None, self._arcs(word, 0) if size else []
+        while not path or path[-1][0] < size:
+            while arcs:
+                end, found = arc = arcs.pop()
+                if found is None or last is None and arc not in dead:
                     break
-                end -= 1
-            if end > at:
-                path.append((end, found))
-                at, last = end, found
-                end = min(size, at + self.longest)
+                if arc not in dead:
+                    known = follow.get(last << 32 | found)
+                    if self.follows(last, found) if known is None else known:
+                        break
+            else:
+                if not path:
+                    return self._merged(word)
+                dead.add(path.pop())
+                last, arcs = path[-1][1] if path else None, left.pop()
                 continue
-            if not path:
-                return self._merged(word)
-            dead.add(path.pop())
-            end = at - 1
-            at, last = path[-1] if path else (0, None)
+            path.append(arc)
+            left.append(arcs)
+            last, arcs = found, self._arcs(word, end) if end < size else []
         starts = [0, *(end for end, _ in path[:-1])]
         return [word[low:high] for low, (high, _) in zip(starts, path, strict=True)]
 
@@ -198,7 +215,7 @@ class PieceTransducer:
         for piece in self.shortest_path(word):
             found = self.ids.get(piece)
             out += [found] if found is not None else self.fallback(piece)
-        return np.array(out, "<i4").tobytes()
+        return struct.pack(f"<{len(out)}i", *out)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""

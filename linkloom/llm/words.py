@@ -40,16 +40,21 @@ def held_out(id_column: str, folds: int, fold: int = 2) -> Column:
 
 
 class WordCache(dict, Generic[T]):
-    """A dict that computes what it lacks and starts anew when it is full."""
+    """A dict that computes what it lacks; when half full it starts anew, and takes over what is asked for again."""
 
     def __init__(self, compute: Callable[[bytes], T], most: int = CACHED_WORDS) -> None:
         super().__init__()
         self.compute, self.most = compute, most
+        self.before: dict[bytes, T] = {}
 
     def __missing__(self, word: bytes) -> T:
-        if len(self) >= self.most:
+        if 2 * len(self) >= self.most:
+            self.before = dict(self)
             self.clear()
-        value = self[word] = self.compute(word)
+        value = self.before.get(word)
+        if value is None:
+            value = self.compute(word)
+        self[word] = value
         return value
 
 

@@ -32,6 +32,7 @@ from linkloom.llm import (
 )
 from linkloom.llm.components import components
 from linkloom.llm.queries import PIECE_MODEL
+from linkloom.llm.words import WordCache
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id long, digest string, keep string"
 WORDS = "river stone meadow lantern copper winter harbour quiet morning silver basket thunder ladder orchard velvet".split()
@@ -150,6 +151,15 @@ def test_similar_documents(docs, texts, nothing, monkeypatch, width, percent, lo
         assert {r["doc_id"] for r in kept.collect()} == {c for _, c in expected.values()} | {None}
 
 
+def test_kept_texts_move_once_and_repeated_rows_stay_once(spark):
+    rows = [(1, "a b"), (2, "a b"), (2, "a b"), (2, "c"), (3, "d"), (None, "a b"), (None, "a b"), (4, None), (5, ""), (6, "e")]
+    kept = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = sorted(map(tuple, kept.collect()), key=str)
+    assert found == sorted([(2, "a b"), (2, "c"), (3, "d"), (None, "a b"), (None, "a b"), (5, ""), (6, "e")], key=str)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("strategy=merge") >= 1
+
+
 def test_a_family_is_compared_where_its_lists_lie(spark):
     # Every text differs from the others in words of its own: the first one is like few, and no list tells who is linked.
     words = [f"w{i}" for i in range(120)]
@@ -174,6 +184,14 @@ def test_questioned_documents_are_as_many_as_there_are():
     assert len(jaccard._connected(measure)(entries, known)) == 39
 
 
+def test_a_full_cache_keeps_what_is_asked_for_again():
+    computed = []
+    cache = WordCache(lambda word: computed.append(word) or len(word), most=8)
+    for i in range(40):
+        assert cache[b"often"] == 5 and cache[str(i).encode()] == len(str(i))
+    assert computed.count(b"often") == 1 and len(cache) + len(cache.before) <= 9
+
+
 def test_required_occurrences_hold_for_all_sizes():
     measure = jaccard.Measure(4, 85)
     for n in range(1, 400):
