@@ -363,7 +363,8 @@ def suffix_tree_scores(docs: DataFrame, folds: int = 7) -> DataFrame:
             F.sum(F.col("times") * F.coalesce("base", F.lit(unseen_base))).alias("rare_base"),
         )
     )
-    scores = text_scores(parts.where("slice IS NOT NULL"))
+    rare = staged(rare, "rare-words")
+    scores = staged(text_scores(parts.where("slice IS NOT NULL")), "scores")
     whole = parts.where("tokens IS NOT NULL").select("row", "doc_id", "tokens", "known", "base")
     return whole.join(rare, "row", "left").join(scores, "row", "left").select(
         "doc_id",

@@ -10,6 +10,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -33,6 +34,7 @@ from linkloom.llm import (
 from linkloom.llm.components import components
 from linkloom.llm.queries import PIECE_MODEL
 from linkloom.llm.words import WordCache
+from linkloom.session import checkpoint_root
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id long, digest string, keep string"
 WORDS = "river stone meadow lantern copper winter harbour quiet morning silver basket thunder ladder orchard velvet".split()
@@ -184,6 +186,14 @@ def test_questioned_documents_are_as_many_as_there_are():
     assert len(jaccard._connected(measure)(entries, known)) == 39
 
 
+def test_language_model_leaves_no_grams_behind(spark):
+    table = spark.createDataFrame([(i, f"some words {i} of a text") for i in range(20)], "doc_id long, text string")
+    folder = Path(checkpoint_root(spark).removeprefix("file:")) / "linkloom"
+    before = set(folder.glob("gram*"))
+    assert suffix_tree.suffix_tree_scores(table).count() == 20
+    assert set(folder.glob("gram*")) <= before
+
+
 def test_a_full_cache_keeps_what_is_asked_for_again():
     computed = []
     cache = WordCache(lambda word: computed.append(word) or len(word), most=8)
