@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.words import fresh, hash_cache, hashes, text_bytes
+from linkloom.llm.words import fresh, hash_cache, hashes, portions, text_bytes
 
 # Whatever five-token window has at most one substitution agrees under one of these masks,
 # and of any passage that agrees in four fifths of its tokens some such window does.
@@ -93,7 +93,7 @@ class SeedIndex:
 def _search(index: SeedIndex):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = hash_cache()
-        for frame in frames:
+        for frame in portions(frames, "text"):
             doc_ids, texts = frame.column(0).to_pylist(), frame.column(1).to_pylist()
             coded = [hashes(text.lower().split(), cache) for text in texts]
             starts = np.cumsum([0, *map(len, coded)])

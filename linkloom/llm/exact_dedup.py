@@ -120,7 +120,8 @@ def suspects(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         .groupBy("owner")
         .applyInPandas(_answer, "part long, owner int, bitmap binary")
     )
-    marked = lists.select("part", "owner", "runs", "ids").join(bitmaps, ["part", "owner"])
+    # Stored, so that no task runs two Python workers at once, one behind the other.
+    marked = lists.select("part", "owner", "runs", "ids").join(staged(bitmaps, "bitmaps"), ["part", "owner"])
     return marked.select("bitmap", "runs", "ids").mapInPandas(_suspects, "doc_id long")
 
 

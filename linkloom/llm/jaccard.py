@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import golomb
 from linkloom.llm.components import components
-from linkloom.llm.words import fresh, hash_cache, hashes, staged, text_bytes
+from linkloom.llm.words import fresh, hash_cache, hashes, portions, staged, text_bytes
 from linkloom.session import drop_stage
 
 # Members from which a list counts as long.
@@ -149,7 +149,7 @@ def _send(measure: Measure, owners: int):
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names
             )
 
-        for frame in frames:
+        for frame in portions(frames, "data"):
             rows = []
             for doc, text in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist(), strict=True):
                 shingles = measure.shingles(hashes(text.lower().split(), cache))
@@ -218,7 +218,7 @@ def _bounded(measure: Measure):
     """Pairs whose sketches leave enough common shingles possible."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
+        for frame in portions(frames, "sa", "sb"):
             kept = []
             columns = [frame.column(name).to_pylist() for name in ("na", "nb", "sa", "sb")]
             for na, nb, sa, sb in zip(*columns, strict=True):
@@ -376,7 +376,7 @@ def _connected(measure: Measure):
 def _packed_sets(measure: Measure):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, unpack = hash_cache(), zstandard.ZstdDecompressor()
-        for frame in frames:
+        for frame in portions(frames, "packed"):
             sets = [
                 measure.shingles(hashes(unpack.decompress(p).lower().split(), cache)).tobytes()
                 for p in frame.column(1).to_pylist()
@@ -401,7 +401,7 @@ def common(a: np.ndarray, b: np.ndarray, needed: int) -> int:
 
 def _similar(measure: Measure):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
+        for frame in portions(frames, "xa", "xb"):
             kept = []
             for x, y in zip(frame.column("xa").to_pylist(), frame.column("xb").to_pylist(), strict=True):
                 a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -414,7 +414,7 @@ def _similar(measure: Measure):
 
 def _compressed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
-    for frame in frames:
+    for frame in portions(frames, "data"):
         data = pa.array([pack.compress(x) for x in frame.column(1).to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([frame.column(0), data], ["doc_id", "packed"])
 
@@ -423,7 +423,8 @@ def _sets(wanted: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
     """``doc_id, shingles`` of the ``wanted`` ids.  Texts are shuffled once, compressed; only these sets go on."""
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
     packed = texts.mapInArrow(_compressed, "doc_id long, packed binary")
-    sets = packed.join(wanted, "doc_id", "left_semi").mapInArrow(_packed_sets(measure), "doc_id long, shingles binary")
+    # By shuffles even where the ids are few: a broadcast would leave both Python steps in one task.
+    sets = packed.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(_packed_sets(measure), "doc_id long, shingles binary")
     return staged(sets.dropDuplicates(["doc_id"]), "sets")
 
 
@@ -496,9 +497,12 @@ def similar_documents(docs: DataFrame, measure: Measure = Measure()) -> DataFram
         .groupBy("owner")
         .applyInPandas(_answer, "part long, owner int, lengths binary")
     )
+    # Stored, so that no task runs two Python workers at once, one behind the other.
+    answers = staged(answers, "answers")
     members = entries.join(answers, ["part", "owner"]).select("owner", "coded", "runs", "docs", "places", "lengths")
     members = staged(members.mapInArrow(_members(owners), "token long, doc_id long, place int, long boolean"), "members")
     drop_stage(sent)
+    drop_stage(answers)
     # Of copies any one may have been listed; it stands for its representative.
     standing = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "low", "high").dropDuplicates(["doc_id"])
     standing = standing.join(classes, ["n", "low", "high"]).select("doc_id", "rep", "n")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.words import CACHED_WORDS, WordCache, batches, held_out
+from linkloom.llm.words import CACHED_WORDS, WordCache, batches, held_out, portions
 
 DECAY = 0.65
 # Offsets of a subsequence's later letters; at most two letters are skipped.
@@ -346,7 +346,7 @@ class Margins(dict[str, float]):
 def _scorer(model: ToxicityModel):
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margins = Margins(model)
-        for frame in frames:
+        for frame in portions(frames, "text"):
             values = [model.probability(margin) for margin in margins.of_texts(frame.column(1).to_pylist())]
             scores = pa.array(values, pa.float64())
             flags = pa.array([int(v >= THRESHOLD) for v in values], pa.int32())
@@ -378,7 +378,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def keep(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margins = Margins(model)
-        for frame in frames:
+        for frame in portions(frames, "text"):
             found = margins.of_texts(frame.column("text").to_pylist())
             kept = [model.probability(margin) < THRESHOLD for margin in found]
             yield frame.filter(pa.array(kept, pa.bool_()))

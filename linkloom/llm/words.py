@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator
 from typing import Generic, TypeVar
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ T = TypeVar("T")
 
 # Entries a per-worker cache holds before it is emptied; bounds its memory, never a result.
 CACHED_WORDS = 300_000
+# Bytes of texts a worker takes from its batch at once, where one text is not longer; bounds its memory, never a result.
+PORTION_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +75,19 @@ def batches(column: list, size: int) -> Iterator[list]:
         yield column[start : start + size]
 
 
+def portions(frames: Iterator[pa.RecordBatch], *columns: str, most: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows in order, in slices whose ``columns`` hold ``most`` bytes together, or a single row of more."""
+    for frame in frames:
+        sizes = np.zeros(frame.num_rows, np.int64)
+        for name in columns:
+            sizes += pc.fill_null(pc.binary_length(frame.column(name)), 0).to_numpy(zero_copy_only=False)
+        ends, low = np.cumsum(sizes), 0
+        while low < frame.num_rows:
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + most, "right")))
+            yield frame.slice(low, high - low)
+            low = high
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {column.lower() for column in df.columns}

@@ -8,6 +8,7 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -15,6 +16,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,8 +35,8 @@ from linkloom.llm import (
 )
 from linkloom.llm.components import components
 from linkloom.llm.queries import PIECE_MODEL
-from linkloom.llm.words import WordCache
-from linkloom.session import checkpoint_root
+from linkloom.llm.words import PORTION_BYTES, WordCache
+from linkloom.session import checkpoint_root, stage_table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id long, digest string, keep string"
 WORDS = "river stone meadow lantern copper winter harbour quiet morning silver basket thunder ladder orchard velvet".split()
@@ -342,6 +344,60 @@ def test_decontamination(spark, docs, nothing):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def _peak(run, frame: pa.RecordBatch) -> tuple[list[pa.RecordBatch], int]:
+    """What a worker's function makes of one batch, and the most bytes it held meanwhile."""
+    tracemalloc.start()
+    try:
+        found = [x for x in run(iter([frame])) if x.num_rows]
+        return found, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_a_portion_of_its_batch_at_once():
+    text = " ".join(f"w{k % 97}" for k in range(400))
+    item = " ".join(f"w{k}" for k in range(20, 60))
+    texts = [text.encode()] * 6_000 + [b"", item.encode() * 3]
+    ids = pa.array(range(len(texts)), pa.int64())
+    frame = pa.RecordBatch.from_arrays([ids, pa.array(texts, pa.binary())], ["doc_id", "text"])
+    found, peak = _peak(decontaminate._search(decontaminate.SeedIndex([(7, item.encode())])), frame)
+    assert [x for f in found for x in f.column("doc_id").to_pylist()] == [*range(6_000), 6_001]
+    assert peak < 40 * PORTION_BYTES
+
+    packed, peak = _peak(jaccard._compressed, frame.rename_columns(["doc_id", "data"]))
+    assert sum(x.num_rows for x in packed) == len(texts) and peak < 6 * PORTION_BYTES
+
+
+def _workers(plan) -> list[int]:
+    """Python nodes of each stage of a physical plan, the stage of its root first."""
+    children = plan.children()
+    below = [_workers(children.apply(i)) for i in range(children.size())]
+    ended = [n for stages in below for n in stages[1:]]
+    here = sum(stages[0] for stages in below)
+    name = plan.nodeName()
+    if "Exchange" in name:
+        return [0, here, *ended]
+    return [here + ("InPandas" in name or "InArrow" in name), *ended]
+
+
+def test_no_task_of_the_pipeline_runs_two_python_workers(spark, docs, monkeypatch):
+    plans = []
+
+    def recorded(df, name):
+        plans.append((name, max(_workers(df._jdf.queryExecution().executedPlan()))))
+        return stage_table(df, name)
+
+    for module in (exact_dedup, jaccard):
+        monkeypatch.setattr(module, "staged", recorded)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for step in (exact_dedup.drop_copies, jaccard.drop_near_copies):
+            recorded(step(docs), step.__name__)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(plans) > 10 and [name for name, n in plans if n > 1] == []
+
+
 def test_every_tolerated_window_has_a_seed():
     for wrong in itertools.combinations(range(13), 2):
         good = [k not in wrong for k in range(13)]
