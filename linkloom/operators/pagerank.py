@@ -10,20 +10,24 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkloom.operators.adjacency import HOT_EDGES, Adjacency, lay_out
+from linkloom.operators.adjacency import HOT_EDGES, Adjacency, lay_out, lay_out_stored, merged
 from linkloom.operators.graph import link_urls, number_urls, numbered_ends, url_hash
-from linkloom.session import iterating, settle, stage_table
+from linkloom.session import bucketed_table, drop_stage, iterating, loop_width, settle, stage_table
 
 RESET = 0.15
 TOLERANCE = 1e-4
 # Rounds of a fixed-length run between two settled states.
 ROUNDS_PER_STAGE = 5
+# Edges from which edges and states are tables, each state dropped once the next is written,
+# and every round is stored: the shuffle files of one round alone lie on disk at a time.
+STORED_EDGES = 10_000_000
 
 
 def _nodes(weighted: DataFrame, vertices: DataFrame | None, every: bool = False) -> DataFrame:
     """``(id, out_degree)`` of every end-point and given vertex, from one aggregation.
 
-    With ``every`` the given vertices hold all end-points.
+    ``weighted`` are edges with their ``copies``.  With ``every`` the given vertices
+    hold all end-points.
     """
     ends = weighted.select(F.col("src").alias("id"), "copies")
     others = [] if every else [weighted.select(F.col("dst").alias("id"))]
@@ -41,7 +45,6 @@ def _text_id(text: Column, attempt: int) -> Column:
 
 def _numbered(edges: DataFrame, vertices: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Edges with numbers for text ids, and ``(id, url)``: the text of each number, given vertices included."""
-    edges = stage_table(edges.select("src", "dst"), "text-edges")
     texts = link_urls(edges)
     if vertices is not None:
         texts = texts.unionByName(vertices.select(F.col("id").alias("url"))).distinct()
@@ -68,17 +71,32 @@ def pagerank(
 
     A round shuffles partially summed messages only.  States are settled in the
     shared checkpoint folder, so lineage stays short and a lost executor costs
-    a few rounds at most.
+    a few rounds at most.  Of many edges (``STORED_EDGES``) one form at a time lies
+    on disk, beside two states and the messages of one round.
     """
+    given = edges = stage_table(edges.select("src", "dst"), "edges", "zstd")
+    rows = edges.count()
     names = None
     if all(isinstance(edges.schema[end].dataType, T.StringType) for end in ("src", "dst")):
         edges, names = _numbered(edges, vertices)
         vertices = names.select("id")
-    weighted = stage_table(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")), "weights")
-    adjacency = lay_out(weighted, hot_edges, 0 if vertices is None else vertices.count())
-    with iterating(edges.sparkSession, adjacency.width):
-        # Aggregated by id under the loop's settings, so already partitioned like its edges.
-        nodes = settle(_nodes(weighted, vertices, names is not None).sortWithinPartitions("id"))
+    companions = 0 if vertices is None else vertices.count()
+    spark = edges.sparkSession
+    # Nodes are aggregated by id under the loop's settings, so already partitioned like the edges.
+    if rows < STORED_EDGES:
+        weighted = stage_table(merged(edges), "weights")
+        adjacency = lay_out(weighted, hot_edges, companions)
+        with iterating(spark, adjacency.width):
+            nodes = settle(_nodes(weighted, vertices, names is not None).sortWithinPartitions("id"))
+    else:
+        weighted = edges.withColumn("copies", F.lit(1).cast("bigint"))
+        width = loop_width(spark, max(rows, companions))
+        with iterating(spark, width):
+            nodes = _nodes(weighted, vertices, names is not None).sortWithinPartitions("id")
+        nodes = bucketed_table([nodes], "nodes", width, "id")
+        adjacency = lay_out_stored(edges, nodes, rows, width, hot_edges)
+    drop_stage(given)
+    with iterating(spark, adjacency.width):
         ranks = _until_settled(adjacency, nodes, tol) if iterations is None else _rounds(adjacency, nodes, iterations)
         adjacency.release()
         scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).first()["scale"]
@@ -98,15 +116,25 @@ def _received(adjacency: Adjacency, passing: DataFrame, amount: str) -> DataFram
     )
 
 
+def _kept(adjacency: Adjacency, state: DataFrame, before: DataFrame) -> DataFrame:
+    """The state settled; the state ``before`` goes if it is a table."""
+    if not adjacency.stored:
+        return settle(state)
+    kept = bucketed_table([state], "state", adjacency.width, "id")
+    drop_stage(before)
+    return kept
+
+
 def _rounds(adjacency: Adjacency, nodes: DataFrame, iterations: int) -> DataFrame:
-    ranks = nodes.withColumn("rank", F.lit(1.0))
+    kept, ranks = nodes, nodes.withColumn("rank", F.lit(1.0))
+    each = 1 if adjacency.stored else ROUNDS_PER_STAGE
     for done in range(1, iterations + 1):
         received = _received(adjacency, ranks, "rank")
-        ranks = nodes.join(received, "id", "left").select(
+        ranks = kept.select("id", "out_degree").join(received, "id", "left").select(
             "id", "out_degree", (RESET + F.coalesce("received", F.lit(0.0))).alias("rank")
         )
-        if done % ROUNDS_PER_STAGE == 0 or done == iterations:
-            ranks = settle(ranks)
+        if done % each == 0 or done == iterations:
+            kept = ranks = _kept(adjacency, ranks, kept)
     return ranks
 
 
@@ -119,11 +147,12 @@ def _until_settled(adjacency: Adjacency, nodes: DataFrame, tol: float) -> DataFr
         received = _received(adjacency, state.filter(passing), "delta")
         delta = F.coalesce("received", F.lit(0.0))
         watch = Observation()
-        state = settle(
+        after = (
             state.join(received, "id", "left")
             .select("id", "out_degree", (F.col("rank") + delta).alias("rank"), delta.alias("delta"))
             .observe(watch, F.count_if(passing).alias("active"))
         )
+        state = _kept(adjacency, after, state)
         active = watch.get["active"]
     return state
 

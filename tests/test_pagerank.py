@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import random
+import time
 from collections import Counter
 
 import pytest
 
+from linkloom import session
+from linkloom.operators import adjacency
 from linkloom.operators import pagerank as module
 from linkloom.operators.pagerank import pagerank
 
@@ -98,6 +102,78 @@ def test_text_ids_loop_as_numbers(spark, monkeypatch, options):
     assert seen == ["bigint", "bigint"]
 
 
+@pytest.fixture
+def many(monkeypatch):
+    """What holds for very many edges holds for few: tables instead of caches, several slices."""
+    monkeypatch.setattr(module, "STORED_EDGES", 0)
+    monkeypatch.setattr(adjacency, "EDGES_PER_SLICE", 400)
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+
+
+@pytest.mark.parametrize("hot_edges", [5, 100_000])
+def test_stored_edges_give_the_same_ranks(spark, many, hub_pairs, hot_edges):
+    edges = spark.createDataFrame(hub_pairs, "src string, dst string")
+    assert ranks(pagerank(edges, iterations=7, hot_edges=hot_edges)) == pytest.approx(brute_force(hub_pairs, 7), abs=1e-9)
+    assert ranks(pagerank(edges, iterations=0)) == pytest.approx(dict.fromkeys({i for pair in hub_pairs for i in pair}, 1.0))
+    assert not spark.sql("SHOW TABLES").filter("tableName LIKE 'linkloom_%' AND tableName NOT LIKE 'linkloom_pages%'").count()
+
+
+def test_stored_golden_values(spark, many):
+    test_golden_values(spark, "multi_edge")
+
+
+def test_stored_missing_ids_and_no_edges(spark, many):
+    pairs = [(None, 1), (1, None), (1, 2), (1, 2), (None, None), (2, 3)]
+    vertices = spark.createDataFrame([(7,), (None,)], "id bigint")
+    edges = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    stored = ranks(pagerank(edges, vertices, iterations=3))
+    module.STORED_EDGES = 100
+    assert stored == pytest.approx(ranks(pagerank(edges, vertices, iterations=3)), abs=1e-12)
+    module.STORED_EDGES = 0
+    assert ranks(pagerank(edges.limit(0), iterations=3)) == {}
+
+
+def shuffled(spark):
+    """Bytes of the shuffle files on disk, by shuffle."""
+    found = Counter()
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    for at in range(files.size()):
+        path = files.apply(at).getPath()
+        if os.path.basename(path).startswith("shuffle_") and os.path.exists(path):
+            found[int(os.path.basename(path).split("_")[1])] += os.path.getsize(path)
+    return found
+
+
+def test_disk_holds_one_round(spark, monkeypatch):
+    """Of very many edges neither the shuffle files of earlier rounds nor earlier states or edges stay on disk."""
+    monkeypatch.setattr(module, "STORED_EDGES", 0, raising=False)
+    pick = random.Random(9)
+    edges = spark.createDataFrame([(pick.randrange(9000), pick.randrange(9000)) for _ in range(20_000)], "src bigint, dst bigint")
+    folder = f"{session.checkpoint_root(spark)}/linkloom".removeprefix("file:")
+    tables = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    before = set(shuffled(spark))
+    most = []
+
+    def watched(state, *rest):
+        most.append(sum(name.startswith("state-") for name in set(os.listdir(folder)) - tables))
+        return usual(state, *rest)
+
+    usual = module.drop_stage if hasattr(module, "drop_stage") else None
+    monkeypatch.setattr(module, "drop_stage", watched, raising=False)
+    ranked = pagerank(edges, iterations=6)
+    left = Counter()
+    for _ in range(50):  # removed files go in the background
+        left = Counter({shuffle: size for shuffle, size in shuffled(spark).items() if shuffle not in before})
+        if sum(left.values()) < 50_000:
+            break
+        time.sleep(0.2)
+    assert sum(left.values()) < 50_000  # a single round shuffles over 200,000
+    assert max(most) == 2
+    kept = Counter(name.rpartition("-")[0] for name in set(os.listdir(folder)) - tables)
+    assert not kept.keys() & {"edges", "weights", "cold-edges", "hot-edges", "nodes"} and kept["state"] == 1
+    assert ranked.count() == len({i for row in edges.collect() for i in row})
+
+
 def test_settings_are_restored(spark, hub_pairs):
     names = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
     before = [spark.conf.get(name) for name in names]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from linkloom import session
+from linkloom.operators import adjacency as adjacency_module
 from linkloom.operators import graph, links, policy
 from linkloom.operators.adjacency import lay_out
 from linkloom.plans import corpora
@@ -76,6 +77,29 @@ def test_a_round_shuffles_messages_only(spark, monkeypatch):
     assert "partial_sum" in text
 
 
+def test_a_round_over_stored_edges_shuffles_messages_only(spark, monkeypatch):
+    """Tables of edges and states are read bucket by bucket, in the order they were written in."""
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(adjacency_module, "EDGES_PER_SLICE", 300)
+    pairs = settle(spark.range(1000).select((F.col("id") % 50).alias("src"), (F.col("id") % 70).alias("dst")))
+    with iterating(spark, 6):
+        nodes = pairs.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out_degree")).sortWithinPartitions("id")
+        nodes = session.bucketed_table([nodes], "nodes", 6, "id")
+    adjacency = adjacency_module.lay_out_stored(pairs, nodes, 1000, 6)
+    with iterating(spark, 6):
+        values = nodes.select(F.col("id").alias("src"), F.lit(1.0).alias("x"))
+        followed = adjacency.follow(values)
+        summed = followed.groupBy("dst").agg(F.sum("x"))
+        text = plan(nodes.select(F.col("id").alias("dst")).join(summed, "dst"))
+    assert re.findall(r"Exchange \w+\((\w+)", text) == ["dst"]
+    assert re.findall(r"Sort \[(\w+)", text) == ["dst"], "edges and nodes are in order already"
+    assert text.count("Bucketed: true") == 3
+    assert sorted(map(tuple, followed.select("src", "dst", "copies").collect())) == sorted(
+        map(tuple, adjacency_module.merged(pairs).collect())
+    )
+    adjacency.release()
+
+
 def test_a_hot_batch_is_split(spark):
     """Two thirds of the rows share one key; adaptive execution must not leave them to one task."""
     found = spark.range(0, 400_000, 1, 8).select(
